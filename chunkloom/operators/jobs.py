@@ -1,24 +1,30 @@
-"""The job ledger as a roll-up of append-only events."""
+"""The job ledger as a roll-up of append-only events.
+
+Event kinds: ``created`` (with total_files), ``status`` (with status and error_msg; the last by
+seq wins), ``done`` and ``failed`` (one file each).  A job without a created event is unknown.
+"""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def job_rollup(events: DataFrame) -> DataFrame:
-    """Current state of every job.
-
-    Event kinds: ``status`` (with status and error_msg; the last by seq wins), ``done`` and
-    ``failed`` (one file each).  A job without a status event is queued.
-    """
-    stamp = F.when(F.col("kind") == "status", F.col("seq"))
-    return events.groupBy("job_id", "workspace_id").agg(
-        F.coalesce(F.max_by("status", stamp), F.lit("queued")).alias("status"),
-        F.lit(0).cast("long").alias("total_files"),
-        F.count_if(F.col("kind") == "done").alias("done"),
-        F.count_if(F.col("kind") == "failed").alias("failed"),
-        F.coalesce(F.max_by("error_msg", stamp), F.lit("")).alias("error_msg"),
-        F.min("ts").alias("created_at"),
-        F.max("ts").alias("updated_at"),
+    """Current state of every job.  Counting files does not move updated_at."""
+    is_status = F.col("kind") == "status"
+    stamp = F.when(is_status, F.col("seq"))
+    created = F.col("kind") == "created"
+    return (
+        events.groupBy("job_id", "workspace_id")
+        .agg(
+            F.coalesce(F.max_by("status", stamp), F.lit("queued")).alias("status"),
+            F.coalesce(F.max("total_files"), F.lit(0)).cast("long").alias("total_files"),
+            F.count_if(F.col("kind") == "done").alias("done"),
+            F.count_if(F.col("kind") == "failed").alias("failed"),
+            F.coalesce(F.max_by("error_msg", stamp), F.lit("")).alias("error_msg"),
+            F.min(F.when(created, F.col("ts"))).alias("created_at"),
+            F.max(F.when(created | is_status, F.col("ts"))).alias("updated_at"),
+        )
+        .where("created_at IS NOT NULL")
     )
 
 

@@ -33,24 +33,24 @@ def flow_counters(records_in: DataFrame, rows: DataFrame) -> DataFrame:
     ``rows`` are the fanned-out rows with ``error``; each file that came through dedup has
     exactly one row with chunk_no 0, which counts files without a distinct.
     """
-    came_in = records_in.agg(F.count("*").alias("records_in"))
     failed_row = F.col("error").isNotNull()
-    by_file = rows.agg(
-        F.count_if(F.col("chunk_no") == 0).alias("files"),
-        F.count_if((F.col("action") == "delete") & ~failed_row).alias("records_deleted"),
-        F.count_if(failed_row).alias("records_failed"),
-    )
     good, _ = split_by_error(rows.withColumn("stage", F.lit("")))
-    written = good.agg(F.count("*").alias("records_out"))
-    # Three one-row aggregates.
-    return (
-        came_in.join(by_file, F.lit(True))
-        .join(written, F.lit(True))
-        .select(
-            "records_in",
-            "records_out",
-            (F.col("records_in") - F.col("files")).alias("records_skipped"),
-            "records_deleted",
-            "records_failed",
-        )
+    parts = [
+        records_in.agg(F.count("*").alias("records_in")),
+        rows.agg(
+            F.count_if(F.col("chunk_no") == 0).alias("files"),
+            F.count_if((F.col("action") == "delete") & ~failed_row).alias("records_deleted"),
+            F.count_if(failed_row).alias("records_failed"),
+        ),
+        good.agg(F.count("*").alias("records_out")),
+    ]
+    one = parts[0]
+    for part in parts[1:]:
+        one = one.unionByName(part, allowMissingColumns=True)
+    return one.agg(
+        F.sum("records_in").alias("records_in"),
+        F.sum("records_out").alias("records_out"),
+        (F.sum("records_in") - F.sum("files")).alias("records_skipped"),
+        F.sum("records_deleted").alias("records_deleted"),
+        F.sum("records_failed").alias("records_failed"),
     )

@@ -39,7 +39,7 @@ POINTS = _struct("id string, workspace_id string, path string, vector vector, pa
 MEMORIES = _struct("content string, metadata string")
 JOB_EVENTS = _struct(
     "job_id string, workspace_id string, seq long, ts timestamp, kind string, status string, "
-    "error_msg string"
+    "error_msg string, total_files long"
 )
 QUARANTINE = _struct(
     "file_id string, path string, stage string, error_type string, message string"
