@@ -10,13 +10,24 @@ from chunkloom.functions.text import let
 _STARTS = "array<struct<i:int,pos:int>>"
 
 
+# Stands for a line break inside a literal, which ends no statement.
+INNER_BREAK = "\x02"
+
+
 def newlines(text: Column) -> Column:
-    return F.length(text) - F.length(F.translate(text, "\n", ""))
+    rest = F.replace(text, F.lit("\n"), F.lit(""))
+    return F.length(text) - F.length(F.replace(rest, F.lit(INNER_BREAK), F.lit("")))
 
 
 def bracket_balance(text: Column) -> Column:
     """Opening minus closing brackets."""
-    return F.length(F.translate(text, ")]}", "")) - F.length(F.translate(text, "([{", ""))
+    brackets = F.regexp_replace(text, r"[^()\[\]{}]++", "")
+    return let(
+        brackets,
+        lambda b: F.when(b == "", 0).otherwise(
+            2 * F.length(F.regexp_replace(b, r"[)\]}]++", "")) - F.length(b)
+        ),
+    )
 
 
 def mask(text: Column, token_pattern: str, masked: Callable[[Column], Column]) -> Column:
@@ -25,6 +36,15 @@ def mask(text: Column, token_pattern: str, masked: Callable[[Column], Column]) -
     return F.array_join(F.transform(tokens, masked), "")
 
 
+def filled(text: Column, char: str, line_break: str) -> Column:
+    """As many copies of ``char`` as ``text`` has characters, line breaks marked."""
+    one_line = F.repeat(F.lit(char), F.length(text))
+    lines = F.transform(F.split(text, "\n", -1), lambda x: F.repeat(F.lit(char), F.length(x)))
+    return F.when(F.contains(text, F.lit("\n")), F.array_join(lines, line_break)).otherwise(
+        one_line
+    )
+
+
 def statement_groups(
     pieces: Column,
     measure: Callable[[Column], Column],

@@ -106,16 +106,16 @@ def by_bytes(content: Column, chunker: Callable) -> Column:
     every byte is one character, and each piece is turned back before it is trimmed.
     """
 
-    def same(text):
-        return text
+    def with_flag(valid, text):
+        view = F.when(valid, text).otherwise(F.decode(text.cast("binary"), "ISO-8859-1"))
 
-    def original(text):
-        return F.encode(text, "ISO-8859-1").cast("string")
+        def original(piece):
+            return F.when(valid, piece).otherwise(
+                F.encode(piece, "ISO-8859-1").cast("string")
+            )
 
-    def chunks(text):
-        as_latin1 = F.decode(text.cast("binary"), "ISO-8859-1")
-        return F.when(F.is_valid_utf8(text), chunker(text, same)).otherwise(
-            let(as_latin1, lambda t: chunker(t, original))
-        )
+        return let(view, lambda t: chunker(t, original))
 
-    return let(content, chunks)
+    return let(
+        content, lambda text: let(F.is_valid_utf8(text), lambda valid: with_flag(valid, text))
+    )

@@ -26,18 +26,21 @@ def needs_embedding() -> Column:
 def hashing_vector(text: Column, dim: int) -> Column:
     """Word counts by hash bucket, scaled to length 1; all zero for a text without words.
 
-    Counting needs no explode: the buckets are sorted together with one marker per bucket,
-    and the distance between two markers is the count.
+    Counting needs no explode: words become odd numbers and one even marker per bucket is
+    sorted in between, so the distance between two markers is the count.
     """
     words = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
-    markers = F.sequence(F.lit(0), F.lit(dim))
+    markers = F.sequence(F.lit(0), F.lit(2 * dim), F.lit(2))
 
-    def bucket(word):
+    def odd(word):
         number = F.conv(F.substr(F.sha2(word, 256), F.lit(1), F.lit(8)), 16, 10)
-        return (number.cast("long") % dim).cast("int")
+        return ((number.cast("long") % dim) * 2 + 1).cast("int")
 
     def counted(ordered):
-        places = F.transform(markers, lambda b: F.array_position(ordered, b))
+        places = F.filter(
+            F.transform(ordered, lambda x, i: F.when(x % 2 == 0, i).otherwise(-1)),
+            lambda i: i >= 0,
+        )
         return let(
             places,
             lambda p: F.zip_with(
@@ -46,7 +49,7 @@ def hashing_vector(text: Column, dim: int) -> Column:
         )
 
     def scaled(counts):
-        squares = F.aggregate(counts, F.lit(0).cast("long"), lambda s, c: s + c * c)
+        squares = F.aggregate(counts, F.lit(0).cast("long"), lambda s, c: s + c.cast("long") * c)
         return let(
             F.sqrt(squares),
             lambda norm: F.transform(
@@ -54,7 +57,7 @@ def hashing_vector(text: Column, dim: int) -> Column:
             ),
         )
 
-    ordered = F.sort_array(F.concat(F.transform(words, bucket), markers))
+    ordered = F.sort_array(F.concat(F.transform(words, odd), markers))
     return let(let(ordered, counted), scaled)
 
 

@@ -9,7 +9,13 @@ anything but declarations at the top level counts as unparsable and gives no chu
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from chunkloom.functions.statements import mask, newlines, statement_groups
+from chunkloom.functions.statements import (
+    INNER_BREAK,
+    filled,
+    mask,
+    newlines,
+    statement_groups,
+)
 from chunkloom.functions.text import by_bytes, let
 
 # Possessive quantifiers keep the matcher from recursing on long literals.
@@ -36,8 +42,8 @@ def _masked(token: Column) -> Column:
         F.startswith(token, F.lit("/*")) & (F.length(token) > 1)
     )
     return (
-        F.when(comment, F.regexp_replace(token, r"[^\n]", " "))
-        .when(quote & (F.length(token) > 1), F.regexp_replace(token, r"[^\n]", '"'))
+        F.when(comment, filled(token, " ", "\n"))
+        .when(quote & (F.length(token) > 1), filled(token, '"', INNER_BREAK))
         .when(quote, F.lit(_BROKEN))
         .otherwise(token)
     )
@@ -48,7 +54,8 @@ def _ends_statement(piece: Column) -> Column:
 
     Of the keywords only those that end a statement by themselves count as words.
     """
-    return F.rtrim(piece, F.lit(" \t\r\n")).rlike(
+    ending = F.substring(F.rtrim(piece, F.lit(" \t\r\n")), -12, 12)
+    return ending.rlike(
         rf'[\p{{L}}\p{{N}}_"\)\]}};](?<!(?:^|[^\p{{L}}\p{{N}}_])(?:{_OPEN_KEYWORDS}))$'
     )
 

@@ -28,12 +28,12 @@ _DEFINITION = rf"^(?:(?:async[ \t]+)?def|class)[ \t]+({_ID})"
 def _masked(token: Column) -> Column:
     quote = F.left(token, F.lit(1)).isin('"', "'") & (F.length(token) > 1)
     joined = F.startswith(token, F.lit("\\")) & (F.length(token) > 1)
-    return (
-        F.when(quote, F.regexp_replace(token, r"[\s\S]", '"'))
-        .when(F.startswith(token, F.lit("#")), F.regexp_replace(token, r"[\s\S]", "#"))
-        .when(joined, F.regexp_replace(token, r"[\s\S]", " "))
-        .otherwise(token)
+    filler = (
+        F.when(quote, F.lit('"'))
+        .when(F.startswith(token, F.lit("#")), F.lit("#"))
+        .when(joined, F.lit(" "))
     )
+    return F.when(filler.isNull(), token).otherwise(F.repeat(filler, F.length(token)))
 
 
 def _length_of_definition(text: Column) -> Column:
