@@ -34,35 +34,38 @@ def passing_versions(
     log: DataFrame,
     snapshot: DataFrame | None = None,
     *,
+    carry: tuple[str, ...] = (),
     deletes_reset: bool = True,
     seq_block: int = SEQ_BLOCK,
 ) -> DataFrame:
-    """``(workspace_id, path, seq)`` of the log rows that pass.
+    """``(workspace_id, path, seq, *carry)`` of the log rows that pass.
 
     ``log`` needs workspace_id, path, seq, action and content_hash, with (path, seq) unique.
     With ``deletes_reset`` a delete forgets the remembered hash; without it deletes are
     ignored, so re-adding identical content after a delete is dropped.
 
     Each (path, block) is compared by itself.  Only the last hash of a block is handed to the
-    next one, and that carry is computed from one narrow row per path and block.
+    next one, and that hand-over is computed from one narrow row per path and block.
     """
-    is_delete = F.col("action") == "delete"
+    # A delete has no hash.  Both uses of `rows` need the same columns and the same non-null
+    # keys, which the join below would ask of one of them only, so they share one shuffle.
     rows = log.select(
         *PATH,
         "seq",
-        is_delete.alias("deleted"),
-        F.when(~is_delete, F.col("content_hash")).alias("hash"),
-        F.floor(F.col("seq") / seq_block).cast("long").alias("block"),
-    )
-    compared = rows if deletes_reset else rows.where(~F.col("deleted"))
+        F.when(F.col("action") != "delete", F.col("content_hash")).alias("hash"),
+        F.expr(f"seq div {int(seq_block)}").alias("block"),
+        *carry,
+    ).where("workspace_id IS NOT NULL AND path IS NOT NULL AND block IS NOT NULL")
+    compared = rows if deletes_reset else rows.where("hash IS NOT NULL")
 
     in_block = Window.partitionBy(*PATH, "block").orderBy("seq")
     within = compared.select(
         "*",
         F.lag("hash").over(in_block).alias("previous"),
-        (F.row_number().over(in_block) == 1).alias("first"),
+        F.lag("seq").over(in_block).isNull().alias("first"),
+        F.lead("seq").over(in_block).isNull().alias("last"),
     )
-    tails = compared.groupBy(*PATH, "block").agg(F.max_by("hash", "seq").alias("hash"))
+    tails = within.where("last").select(*PATH, "block", "hash")
     if snapshot is not None:
         # Only the snapshot rows of paths in this log matter; the join is narrow.
         paths = compared.select(*PATH).distinct()
@@ -71,7 +74,7 @@ def passing_versions(
         )
         tails = tails.unionByName(stored)
     # Nulls sort first, so the snapshot stands before block 0.
-    carry = tails.select(
+    carried = tails.select(
         *PATH,
         "block",
         F.lag("hash").over(Window.partitionBy(*PATH).orderBy("block")).alias("carried"),
@@ -79,13 +82,13 @@ def passing_versions(
 
     previous = F.when(F.col("first"), F.col("carried")).otherwise(F.col("previous"))
     passing = (
-        within.join(carry, [*PATH, "block"], "left")
-        .where(F.col("deleted") | differs(previous, F.col("hash")))
-        .select(*PATH, "seq")
+        within.join(carried, [*PATH, "block"], "left")
+        .where(F.col("hash").isNull() | differs(previous, F.col("hash")))
+        .select(*PATH, "seq", *carry)
     )
     if deletes_reset:
         return passing
-    return passing.unionByName(rows.where("deleted").select(*PATH, "seq"))
+    return passing.unionByName(rows.where("hash IS NULL").select(*PATH, "seq", *carry))
 
 
 def drop_unchanged(
@@ -95,8 +98,14 @@ def drop_unchanged(
     deletes_reset: bool = True,
     seq_block: int = SEQ_BLOCK,
 ) -> DataFrame:
-    """The log rows that pass, with all their columns."""
-    passing = passing_versions(
-        log, snapshot, deletes_reset=deletes_reset, seq_block=seq_block
-    )
-    return log.join(passing, [*PATH, "seq"], "left_semi")
+    """The log rows that pass, with all their columns.
+
+    Narrow rows go through the comparison whole.  Texts do not: they are joined to the
+    passing keys afterwards.
+    """
+    options = {"deletes_reset": deletes_reset, "seq_block": seq_block}
+    key = [*PATH, "seq"]
+    if "content" not in log.columns:
+        carry = tuple(c for c in log.columns if c not in key)
+        return passing_versions(log, snapshot, carry=carry, **options).select(*log.columns)
+    return log.join(passing_versions(log, snapshot, **options), key, "left_semi")

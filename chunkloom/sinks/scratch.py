@@ -21,13 +21,31 @@ def new_dir(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/chunkloom/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors."""
-    path = new_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def remove(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+class Scratch:
+    """Tables staged during one piece of work, removed at its end."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: list[str] = []
+
+    def __enter__(self) -> "Scratch":
+        return self
+
+    def __exit__(self, *_) -> None:
+        for path in self.paths:
+            remove(self.spark, path)
+
+    def staged(self, df: DataFrame, name: str) -> DataFrame:
+        """Write ``df`` to the shared folder and read it back.
+
+        This cuts the lineage, and unlike cached blocks it survives a lost executor.
+        """
+        path = new_dir(self.spark, name)
+        self.paths.append(path)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)

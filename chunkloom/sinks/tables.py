@@ -17,11 +17,16 @@ from pyspark.sql import types as T
 from chunkloom import schema
 from chunkloom.operators import replay
 from chunkloom.operators.snapshot import delete_from_snapshot
-from chunkloom.sinks.scratch import remove, staged
+from chunkloom.sinks.scratch import Scratch, remove
 
 _PLACE = ["workspace_id", "bucket"]
 
 
+def _order(log: DataFrame) -> list[str]:
+    """Arrival order; the chunks of one file come in their order in the file."""
+    return [c for c in ("seq", "chunk_no") if c in log.columns]
+
+
 class KeyedTable:
     columns: T.StructType
 
@@ -46,16 +51,18 @@ class KeyedTable:
     def read(self) -> DataFrame:
         return self._stored().drop("bucket")
 
-    def _touched(self, changes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    def _touched(self, scratch: Scratch, changes: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Stored rows of the buckets in ``changes``, and those buckets."""
         places = self._bucketed(changes.select("workspace_id", "path")).select(*_PLACE).distinct()
-        # Equality on the partition columns: pruned at run time.
+        # Staged, the list has a known size; where that is small Spark broadcasts it and
+        # prunes the partitions of the stored table with it.
+        places = scratch.staged(places, "places").where("bucket >= 0")
         return self._stored().join(places, _PLACE, "left_semi").drop("bucket"), places
 
-    def _replace(self, rows: DataFrame, places: DataFrame) -> None:
+    def _replace(self, scratch: Scratch, rows: DataFrame, places: DataFrame) -> None:
         names = self.columns.names
         rows = self._bucketed(rows.select(*names)).hint("rebalance", *_PLACE)
-        new = staged(rows, "merge")
+        new = scratch.staged(rows, "merge")
         (
             new.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
@@ -81,12 +88,12 @@ class SnapshotTable(KeyedTable):
     def save(self, seen: DataFrame, deleted: DataFrame, now: datetime) -> None:
         """Upsert the hashes in ``seen`` and drop the paths in ``deleted``."""
         changes = seen.select(*replay.PATH).unionByName(deleted.select(*replay.PATH))
-        base, places = self._touched(changes)
-        fresh = seen.select(
-            *replay.PATH, "content_hash", F.lit(now).cast("timestamp").alias("updated_at")
-        )
-        kept = delete_from_snapshot(base, changes)
-        self._replace(kept.unionByName(fresh), places)
+        stamp = F.lit(now).cast("timestamp").alias("updated_at")
+        fresh = seen.select(*replay.PATH, "content_hash", stamp)
+        with Scratch(self.spark) as scratch:
+            base, places = self._touched(scratch, changes)
+            kept = delete_from_snapshot(base, changes)
+            self._replace(scratch, kept.unionByName(fresh), places)
 
 
 class ChunkTable(KeyedTable):
@@ -94,11 +101,11 @@ class ChunkTable(KeyedTable):
     columns = schema.CHUNKS
 
     def write(self, log: DataFrame, run_id: str, now: datetime) -> None:
-        base, places = self._touched(log)
-        order = [c for c in ("seq", "chunk_no") if c in log.columns]
         stamp = F.lit(now).cast("timestamp")
-        fresh, kept = replay.merge_chunks(base, log, stamp, order)
-        self._replace(fresh.unionByName(kept.select(*fresh.columns)), places)
+        with Scratch(self.spark) as scratch:
+            base, places = self._touched(scratch, log)
+            fresh, kept = replay.merge_chunks(base, log, stamp, _order(log))
+            self._replace(scratch, fresh.unionByName(kept), places)
 
 
 class PointTable(KeyedTable):
@@ -106,10 +113,10 @@ class PointTable(KeyedTable):
     columns = schema.POINTS
 
     def write(self, log: DataFrame, run_id: str, now: datetime) -> None:
-        base, places = self._touched(log)
-        order = [c for c in ("seq", "chunk_no") if c in log.columns]
-        fresh, kept = replay.merge_points(base, log, order)
-        self._replace(fresh.unionByName(kept.select(*fresh.columns)), places)
+        with Scratch(self.spark) as scratch:
+            base, places = self._touched(scratch, log)
+            fresh, kept = replay.merge_points(base, log, _order(log))
+            self._replace(scratch, fresh.unionByName(kept), places)
 
 
 class MemoryTable:

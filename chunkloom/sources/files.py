@@ -25,7 +25,7 @@ from chunkloom.functions.text import (
     record_id,
     relative_key,
 )
-from chunkloom.sinks.scratch import new_dir
+from chunkloom.sinks.scratch import new_dir, remove
 
 _LISTED = pa.schema([("is_dir", pa.bool_()), ("key", pa.string()), ("size", pa.int64())])
 _BATCH_BYTES = 32 << 20  # content bytes per Arrow batch
@@ -177,6 +177,7 @@ class FileSource:
         self.metadata = metadata
         self.seq = seq
         self._entries = None
+        self._listing = None
 
     def entries(self) -> DataFrame:
         """``(key, size)`` of the matching files, listed once level by level."""
@@ -185,7 +186,8 @@ class FileSource:
         return self._entries
 
     def _list(self) -> DataFrame:
-        spark, base = self.spark, new_dir(self.spark, "listing")
+        spark = self.spark
+        base = self._listing = new_dir(spark, "listing")
         tasks = spark.sparkContext.defaultParallelism * 4
         top = "" if self.prefix is None else self.prefix.rpartition("/")[0]
         frontier = spark.createDataFrame([(top,)], "key string")
@@ -269,6 +271,12 @@ class FileSource:
             "error",
         )
 
+    def close(self) -> None:
+        """Forget the listing."""
+        if self._listing is not None:
+            remove(self.spark, self._listing)
+        self._entries = self._listing = None
+
 
 def local_source(spark, workspace_id: str, root: str, extensions=None, seq: int = 0):
     if not os.path.isdir(root):

@@ -25,3 +25,6 @@ class TableSource:
         return self.records.join(wanted, ["workspace_id", "path", "seq"], "left_semi").withColumn(
             "error", F.lit(None).cast("string")
         )
+
+    def close(self) -> None:
+        pass
