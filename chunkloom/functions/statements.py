@@ -14,9 +14,14 @@ _STARTS = "array<struct<i:int,pos:int>>"
 INNER_BREAK = "\x02"
 
 
+def count_of(text: Column, char: str) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(char), F.lit("")))
+
+
 def newlines(text: Column) -> Column:
-    rest = F.replace(text, F.lit("\n"), F.lit(""))
-    return F.length(text) - F.length(F.replace(rest, F.lit(INNER_BREAK), F.lit("")))
+    """Line breaks in a masked text."""
+    inner = F.when(F.contains(text, F.lit(INNER_BREAK)), count_of(text, INNER_BREAK))
+    return count_of(text, "\n") + inner.otherwise(0)
 
 
 def bracket_balance(text: Column) -> Column:
@@ -31,20 +36,11 @@ def bracket_balance(text: Column) -> Column:
 
 
 def mask(text: Column, token_pattern: str, masked: Callable[[Column], Column]) -> Column:
-    """Replace literals and comments character by character, keeping every position."""
+    """Put ``masked(token)`` in the place of every token."""
     tokens = F.regexp_extract_all(text, F.lit(token_pattern), F.lit(0))
     return F.array_join(F.transform(tokens, masked), "")
 
 
-def filled(text: Column, char: str, line_break: str) -> Column:
-    """As many copies of ``char`` as ``text`` has characters, line breaks marked."""
-    one_line = F.repeat(F.lit(char), F.length(text))
-    lines = F.transform(F.split(text, "\n", -1), lambda x: F.repeat(F.lit(char), F.length(x)))
-    return F.when(F.contains(text, F.lit("\n")), F.array_join(lines, line_break)).otherwise(
-        one_line
-    )
-
-
 def statement_groups(
     pieces: Column,
     measure: Callable[[Column], Column],
@@ -53,8 +49,8 @@ def statement_groups(
 ) -> Column:
     """Join consecutive pieces that belong to one bracket-balanced statement.
 
-    A non-blank piece opens a statement when no bracket is open and the previous non-blank
-    piece ``ends`` one.  ``done(groups, balanced)`` gets ``array<struct<text, pos>>``, where
+    A non-blank piece opens a statement when no bracket is open and the last non-blank piece
+    before it ``ends`` one.  ``done(groups, balanced)`` gets ``array<struct<text, pos>>``, where
     ``pos`` sums ``measure`` over all earlier pieces, and whether the brackets matched.
     Only the start of each statement is kept while folding, so the fold stays linear.
     """
@@ -62,25 +58,28 @@ def statement_groups(
         F.lit(0).alias("i"),
         F.lit(0).alias("pos"),
         F.lit(0).alias("depth"),
-        F.lit(True).alias("ended"),
+        F.lit(";").alias("last"),
         F.lit(True).alias("balanced"),
         F.array().cast(_STARTS).alias("starts"),
     )
 
     def step(state, piece):
-        blank = F.btrim(piece, F.lit(" \t\r\n")) == ""
-        depth = state.depth + bracket_balance(piece)
+        core = F.btrim(piece, F.lit(" \t\r\n"))
         start = F.struct(state.i.alias("i"), state.pos.alias("pos"))
-        opens = (state.depth == 0) & state.ended & ~blank
-        return F.struct(
-            (state.i + 1).alias("i"),
-            (state.pos + measure(piece)).alias("pos"),
-            F.greatest(depth, F.lit(0)).alias("depth"),
-            F.when(blank, state.ended).otherwise(ends(piece)).alias("ended"),
-            (state.balanced & (depth >= 0)).alias("balanced"),
-            F.when(opens, F.array_append(state.starts, start))
-            .otherwise(state.starts)
-            .alias("starts"),
+        opens = (state.depth == 0) & (core != "") & ends(state.last)
+        # Lines inside brackets neither open nor end a statement and are not trimmed.
+        return let(
+            state.depth + bracket_balance(piece),
+            lambda depth: F.struct(
+                (state.i + 1).alias("i"),
+                (state.pos + measure(piece)).alias("pos"),
+                F.greatest(depth, F.lit(0)).alias("depth"),
+                F.when((depth <= 0) & (core != ""), core).otherwise(state.last).alias("last"),
+                (state.balanced & (depth >= 0)).alias("balanced"),
+                F.when(opens, F.array_append(state.starts, start))
+                .otherwise(state.starts)
+                .alias("starts"),
+            ),
         )
 
     def groups(parts, state):

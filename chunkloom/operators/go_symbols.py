@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from chunkloom.functions.statements import (
     INNER_BREAK,
-    filled,
+    count_of,
     mask,
     newlines,
     statement_groups,
@@ -37,25 +37,28 @@ _CHUNKS = "array<struct<symbol:string,symbol_type:string,content:string>>"
 
 
 def _masked(token: Column) -> Column:
+    """A literal becomes a quoted gap and a comment white space; both keep their lines."""
     quote = F.left(token, F.lit(1)).isin('"', "`", "'")
     comment = F.startswith(token, F.lit("//")) | (
         F.startswith(token, F.lit("/*")) & (F.length(token) > 1)
     )
+    spans_lines = F.contains(token, F.lit("\n"))
+    breaks = count_of(token, "\n")
+    literal = F.concat(F.lit('"'), F.repeat(F.lit(INNER_BREAK), breaks), F.lit('"'))
     return (
-        F.when(comment, filled(token, " ", "\n"))
-        .when(quote & (F.length(token) > 1), filled(token, '"', INNER_BREAK))
+        F.when(comment, F.when(spans_lines, F.repeat(F.lit("\n"), breaks)).otherwise(" "))
+        .when(quote & (F.length(token) > 1), F.when(spans_lines, literal).otherwise('"'))
         .when(quote, F.lit(_BROKEN))
         .otherwise(token)
     )
 
 
-def _ends_statement(piece: Column) -> Column:
+def _ends_statement(line: Column) -> Column:
     """A line ends a statement after a word, a literal, a closing bracket or a semicolon.
 
     Of the keywords only those that end a statement by themselves count as words.
     """
-    ending = F.substring(F.rtrim(piece, F.lit(" \t\r\n")), -12, 12)
-    return ending.rlike(
+    return F.substring(line, -12, 12).rlike(
         rf'[\p{{L}}\p{{N}}_"\)\]}};](?<!(?:^|[^\p{{L}}\p{{N}}_])(?:{_OPEN_KEYWORDS}))$'
     )
 
@@ -74,18 +77,27 @@ def _chunk(symbol: Column, kind, content: Column) -> Column:
 
 
 def _func_chunk(decl: Column, lines: Column) -> Column:
-    text = decl.text
-    receiver = F.regexp_extract(
-        text, rf"^\s*func\s*\(\s*(?:{_ID}(?:\s+|(?=\*)))?\*?\s*({_ID})\s*,?\s*\)", 1
+    def name_and_kind(head):
+        receiver = F.regexp_extract(
+            head, rf"^\s*func\s*\(\s*(?:{_ID}(?:\s+|(?=\*)))?\*?\s*({_ID})\s*,?\s*\)", 1
+        )
+        method = F.regexp_extract(
+            head, rf"^\s*func\s*\((?:[^()]|\([^()]*+\))++\)\s*({_ID})", 1
+        )
+        plain = F.regexp_extract(head, rf"^\s*func\s*(?:\(\s*\)\s*)?({_ID})", 1)
+        is_method = head.rlike(r"^\s*func\s*\(\s*[^\s)]")
+        of_type = let(
+            receiver, lambda r: F.when(r == "", method).otherwise(F.concat_ws(".", r, method))
+        )
+        return F.when(
+            is_method, F.struct(of_type.alias("symbol"), F.lit("method").alias("kind"))
+        ).otherwise(F.struct(plain.alias("symbol"), F.lit("func").alias("kind")))
+
+    # Receiver and name stand before the first brace.
+    return let(
+        let(F.substring_index(decl.text, "{", 1), name_and_kind),
+        lambda f: _chunk(f.symbol, f.kind, _lines_between(lines, decl.pos, decl.text)),
     )
-    method = F.regexp_extract(text, rf"^\s*func\s*\((?:[^()]|\([^()]*+\))++\)\s*({_ID})", 1)
-    plain = F.regexp_extract(text, rf"^\s*func\s*(?:\(\s*\)\s*)?({_ID})", 1)
-    is_method = text.rlike(r"^\s*func\s*\(\s*[^\s)]")
-    name = F.when(
-        is_method, F.when(receiver == "", method).otherwise(F.concat_ws(".", receiver, method))
-    ).otherwise(plain)
-    kind = F.when(is_method, "method").otherwise("func")
-    return _chunk(name, kind, _lines_between(lines, decl.pos, text))
 
 
 def _specs(decl: Column, keyword: Column, use) -> Column:

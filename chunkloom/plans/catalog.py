@@ -22,9 +22,10 @@ from chunkloom.operators.jobs import job_rollup
 from chunkloom.operators.markdown import markdown_chunks
 from chunkloom.operators.python_symbols import python_chunks
 from chunkloom.plans import views
-from chunkloom.sinks.scratch import new_dir
+from chunkloom.sinks.scratch import Scratch, new_dir
 from chunkloom.sinks.tables import ChunkTable, MemoryTable, PointTable
 from chunkloom.sources.files import local_source
+from chunkloom.sources.tables import TableSource
 from chunkloom.streaming.dedup import passing_stream
 from chunkloom.streaming.replay import replay_stream
 
@@ -359,9 +360,13 @@ def embed_passthrough(spark, sf_dir):
 
 
 def workspace_index(spark, sf_dir):
-    """The whole flow as one plan: dedup, fan-out, embedding."""
+    """The whole flow: narrow dedup, texts of the changed files, fan-out, embedding."""
     recs = views.records(spark, sf_dir)
-    changed = dedup.changed_files(recs, views.old_snapshot(recs))
+    source = TableSource(recs)
+    passing = dedup.changed_files(source.fingerprints(), views.old_snapshot(recs))
+    # As in a flow, the passing keys are staged.  Their size is then known: while they are few
+    # they are broadcast, and the texts are filtered in place instead of shuffled.
+    changed = source.fetch(Scratch(spark).staged(passing, "passing"))
     rows = embed.embed_by_hashing(fan_out(changed), DIM)
     return rows.select(
         "workspace_id", "path", "chunk_no", "id", "symbol", "symbol_type", "language",
@@ -386,7 +391,8 @@ def _with_errors(spark, sf_dir):
 
 
 def file_quarantine(spark, sf_dir):
-    good, _ = outcome.split_by_error(_with_errors(spark, sf_dir))
+    rows = Scratch(spark).staged(_with_errors(spark, sf_dir), "rows")
+    good, _ = outcome.split_by_error(rows)
     return good.select("path", "chunk_no", "id", "content_hash")
 
 
@@ -396,7 +402,8 @@ def errors_by_stage(spark, sf_dir):
 
 
 def flow_stats(spark, sf_dir):
-    rows = _with_errors(spark, sf_dir).where("seq % 4 <> 0 OR action = 'delete'")
+    rows = Scratch(spark).staged(_with_errors(spark, sf_dir), "rows")
+    rows = rows.where("seq % 4 <> 0 OR action = 'delete'")
     recs = views.table(spark, sf_dir, "documents").select("doc_id")
     return outcome.flow_counters(recs, rows)
 
