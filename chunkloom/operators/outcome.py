@@ -4,37 +4,38 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def split_by_error(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(good rows, quarantine)``: an error on any row sets its whole file aside.
-
-    The failed files are reduced to distinct ids first, so good rows are only filtered by an
-    anti-join, which the planner broadcasts while that id list is small.
-    """
-    failed = rows.where("error IS NOT NULL")
-    good = rows.join(failed.select("file_id").distinct(), "file_id", "left_anti").drop("error")
-    name = F.regexp_extract("error", r"^(\w+)", 1)
-    quarantine = failed.select(
+def failed_rows(rows: DataFrame) -> DataFrame:
+    """The quarantine: one row per failed record."""
+    return rows.where("error IS NOT NULL").select(
         "file_id",
         "path",
         "stage",
-        name.alias("error_type"),
+        F.regexp_extract("error", r"^(\w+)", 1).alias("error_type"),
         F.col("error").alias("message"),
     )
-    return good, quarantine
+
+
+def good_rows(rows: DataFrame, quarantine: DataFrame) -> DataFrame:
+    """Rows of the files without any error.
+
+    Pass a staged ``quarantine``: while its list of files is small it is broadcast, and the
+    rows are filtered without a shuffle.
+    """
+    failed = quarantine.select("file_id").distinct()
+    return rows.join(failed, "file_id", "left_anti").drop("error", "stage")
 
 
 def errors_by_stage(quarantine: DataFrame) -> DataFrame:
     return quarantine.groupBy("stage", "error_type").agg(F.count("*").alias("errors"))
 
 
-def flow_counters(records_in: DataFrame, rows: DataFrame) -> DataFrame:
+def flow_counters(records_in: DataFrame, rows: DataFrame, good: DataFrame) -> DataFrame:
     """One row of counters.
 
     ``rows`` are the fanned-out rows with ``error``; each file that came through dedup has
     exactly one row with chunk_no 0, which counts files without a distinct.
     """
     failed_row = F.col("error").isNotNull()
-    good, _ = split_by_error(rows.withColumn("stage", F.lit("")))
     parts = [
         records_in.agg(F.count("*").alias("records_in")),
         rows.agg(

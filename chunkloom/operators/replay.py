@@ -1,11 +1,18 @@
 """Applying an ordered log of upserts and deletes to a keyed table.
 
 A delete removes every symbol of its file that came before it; of the later upserts the last
-one of each key survives.  `row_number() = 1` over the key lets Spark keep one row per key in
-each map task before the shuffle (WindowGroupLimit), so a key with many versions does not
-gather them in one task; the deletes are reduced to one narrow row per file.
+one of each key survives.  Rows of a log are unique by key and order columns.
+
+The survivors are found on narrow rows: keys, order and nothing else.  `row_number() = 1` over
+the key lets Spark keep one row per key in each map task before the shuffle
+(WindowGroupLimit), so a key with many versions does not gather them in one task, and the
+deletes are reduced to one row per file.  Only then are texts and vectors joined to them.
+Tables pass ``stage`` to write the narrow results down first: their size is then known, and
+while they are small the wide rows are filtered by a broadcast and not shuffled at all.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,22 +30,41 @@ def last_deletes(log: DataFrame) -> DataFrame:
     )
 
 
-def surviving_upserts(log: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """The last upsert of each key that no later delete of its file removes."""
+Stage = Callable[[DataFrame, str], DataFrame]
+
+
+def lazily(df: DataFrame, name: str) -> DataFrame:
+    """The stage that stages nothing."""
+    return df
+
+
+def surviving_keys(
+    log: DataFrame, deleted: DataFrame, key: list[str], order: list[str]
+) -> DataFrame:
+    """Key, path and order of the last upsert per key that no later delete removes."""
+    columns = list(dict.fromkeys([*key, *PATH, *order]))
     newest = Window.partitionBy(*key).orderBy(*[F.desc(c) for c in order])
     latest = (
         log.where(F.col("action") != "delete")
-        .withColumn("_n", F.row_number().over(newest))
+        .select(*columns, F.row_number().over(newest).alias("_n"))
         .where("_n = 1")
         .drop("_n")
     )
     return (
-        latest.join(last_deletes(log), PATH, "left")
+        latest.join(deleted, PATH, "left")
         .where("deleted_at IS NULL OR seq > deleted_at")
-        .drop("deleted_at")
+        .select(*columns)
     )
 
 
+def chosen_rows(log: DataFrame, chosen: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+    """The whole rows of the chosen upserts, with the columns ``chosen`` adds."""
+    upserts = log.where(F.col("action") != "delete")
+    joined = [*key, *order]
+    repeated = [c for c in PATH if c not in key]
+    return upserts.join(chosen.drop(*repeated), joined)
+
+
 def untouched_rows(
     base: DataFrame, deleted: DataFrame, upserts: DataFrame, key: list[str]
 ) -> DataFrame:
@@ -77,21 +103,21 @@ def memory_metadata(source: str) -> Column:
 
 
 def merge_chunks(
-    base: DataFrame, log: DataFrame, now: Column, order: list[str]
+    base: DataFrame, log: DataFrame, now: Column, order: list[str], stage: Stage = lazily
 ) -> tuple[DataFrame, DataFrame]:
     """``(rows to store, untouched rows)`` for the chunk table.
 
     An insert leaves created_at empty; an update keeps the stored value.
     """
-    upserts = surviving_upserts(log, CHUNK_KEY, order)
-    deleted = last_deletes(log)
+    deleted = stage(last_deletes(log), "deletes")
     born = (
         base.where("created_at IS NOT NULL")
         .select(*CHUNK_KEY, "created_at")
         .join(deleted.select(*PATH), PATH, "left_anti")
-        .join(upserts.select(*CHUNK_KEY), CHUNK_KEY, "left_semi")
     )
-    fresh = upserts.join(born, CHUNK_KEY, "left").select(
+    chosen = surviving_keys(log, deleted, CHUNK_KEY, order).join(born, CHUNK_KEY, "left")
+    chosen = stage(chosen, "chosen")
+    fresh = chosen_rows(log, chosen, CHUNK_KEY, order).select(
         *CHUNK_KEY,
         "symbol_type",
         "language",
@@ -102,25 +128,26 @@ def merge_chunks(
         "created_at",
         now.alias("updated_at"),
     )
-    return fresh, untouched_rows(base, deleted, upserts, CHUNK_KEY)
+    return fresh, untouched_rows(base, deleted, chosen, CHUNK_KEY)
 
 
 def merge_points(
-    base: DataFrame, log: DataFrame, order: list[str]
+    base: DataFrame, log: DataFrame, order: list[str], stage: Stage = lazily
 ) -> tuple[DataFrame, DataFrame]:
     """``(rows to store, untouched rows)`` for the point table, keyed by id.
 
     An upsert without a vector is no point and leaves an existing one alone.
     """
     relevant = log.where((F.col("action") == "delete") | has_vector(F.col("embedding")))
-    upserts = surviving_upserts(relevant, ["id"], order)
-    fresh = upserts.select(
+    deleted = stage(last_deletes(relevant), "deletes")
+    chosen = stage(surviving_keys(relevant, deleted, ["id"], order), "chosen")
+    fresh = chosen_rows(relevant, chosen, ["id"], order).select(
         "id",
         *PATH,
         F.col("embedding").alias("vector"),
         point_payload().alias("payload"),
     )
-    return fresh, untouched_rows(base, last_deletes(log), upserts, ["id"])
+    return fresh, untouched_rows(base, deleted, chosen, ["id"])
 
 
 def memories(log: DataFrame, source: str) -> DataFrame:

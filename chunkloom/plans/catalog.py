@@ -390,22 +390,29 @@ def _with_errors(spark, sf_dir):
     ).withColumn("stage", F.when(long, "embed").when(nameless, "fan_out"))
 
 
+def _staged_errors(spark, sf_dir):
+    """As in a flow: the rows and the quarantine are written once and read by what follows."""
+    scratch = Scratch(spark)
+    rows = scratch.staged(_with_errors(spark, sf_dir), "rows")
+    return rows, scratch
+
+
 def file_quarantine(spark, sf_dir):
-    rows = Scratch(spark).staged(_with_errors(spark, sf_dir), "rows")
-    good, _ = outcome.split_by_error(rows)
-    return good.select("path", "chunk_no", "id", "content_hash")
+    rows, scratch = _staged_errors(spark, sf_dir)
+    quarantine = scratch.staged(outcome.failed_rows(rows), "quarantine")
+    return outcome.good_rows(rows, quarantine).select("path", "chunk_no", "id", "content_hash")
 
 
 def errors_by_stage(spark, sf_dir):
-    _, quarantine = outcome.split_by_error(_with_errors(spark, sf_dir))
-    return outcome.errors_by_stage(quarantine)
+    return outcome.errors_by_stage(outcome.failed_rows(_with_errors(spark, sf_dir)))
 
 
 def flow_stats(spark, sf_dir):
-    rows = Scratch(spark).staged(_with_errors(spark, sf_dir), "rows")
+    rows, scratch = _staged_errors(spark, sf_dir)
     rows = rows.where("seq % 4 <> 0 OR action = 'delete'")
+    quarantine = scratch.staged(outcome.failed_rows(rows), "quarantine")
     recs = views.table(spark, sf_dir, "documents").select("doc_id")
-    return outcome.flow_counters(recs, rows)
+    return outcome.flow_counters(recs, rows, outcome.good_rows(rows, quarantine))
 
 
 def job_rollup_query(spark, sf_dir):

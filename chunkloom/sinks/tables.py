@@ -104,7 +104,7 @@ class ChunkTable(KeyedTable):
         stamp = F.lit(now).cast("timestamp")
         with Scratch(self.spark) as scratch:
             base, places = self._touched(scratch, log)
-            fresh, kept = replay.merge_chunks(base, log, stamp, _order(log))
+            fresh, kept = replay.merge_chunks(base, log, stamp, _order(log), scratch.staged)
             self._replace(scratch, fresh.unionByName(kept), places)
 
 
@@ -115,7 +115,7 @@ class PointTable(KeyedTable):
     def write(self, log: DataFrame, run_id: str, now: datetime) -> None:
         with Scratch(self.spark) as scratch:
             base, places = self._touched(scratch, log)
-            fresh, kept = replay.merge_points(base, log, _order(log))
+            fresh, kept = replay.merge_points(base, log, _order(log), scratch.staged)
             self._replace(scratch, fresh.unionByName(kept), places)
 
 

@@ -244,6 +244,10 @@ class FileSource:
             *read.columns,
         )
 
+    def workspaces(self) -> DataFrame:
+        """The workspaces this source speaks for, also when it finds no file."""
+        return self.spark.createDataFrame([(self.workspace_id,)], "workspace_id string")
+
     def fingerprints(self) -> DataFrame:
         """workspace_id, path, seq, action, content_hash, error, key of every file."""
         return self._read(self.entries(), with_content=False)

@@ -14,6 +14,9 @@ class TableSource:
     def __init__(self, records: DataFrame):
         self.records = records.withColumn("content_hash", hash_content(F.col("content")))
 
+    def workspaces(self) -> DataFrame:
+        return self.records.select("workspace_id").distinct()
+
     def fingerprints(self) -> DataFrame:
         return self.records.select(
             "workspace_id", "path", "seq", "action", "content_hash",

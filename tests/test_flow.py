@@ -191,9 +191,11 @@ def test_flow_over_changes(spark, tree, tmp_path):
     assert body == "def a():\n    return 1"
 
     # Every file vanishes: the emptied partitions go too.
-    for path in VISIBLE - {"D.GO"}:
+    for path in (VISIBLE - {"D.GO"}) | {"loop.md"}:
         os.unlink(os.path.join(tree, path))
-    run(4)
+    fourth = run(4)
+    assert (fourth["records_in"], fourth["records_deleted"]) == (0, 6)
+    assert t.snapshot.read().count() == 0
     assert t.keys() == set() and t.points.read().count() == 0
 
 

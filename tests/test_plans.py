@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from chunkloom.operators.dedup import passing_versions
-from chunkloom.operators.replay import surviving_upserts
+from chunkloom.operators.replay import last_deletes, surviving_keys
 from chunkloom.operators.snapshot import load_snapshot
 from chunkloom.plans import views
 from chunkloom.plans.catalog import QUERIES
@@ -47,7 +47,9 @@ def test_only_used_columns_are_read(spark):
 
 
 def test_replay_keeps_one_row_per_key_before_the_shuffle(spark):
-    text = plan(surviving_upserts(views.change_log(spark, SF), ["path", "symbol"], ["seq"]))
+    log = views.change_log(spark, SF)
+    text = plan(surviving_keys(log, last_deletes(log), ["path", "symbol"], ["seq"]))
+    assert "content#" not in text and "embedding#" not in text
     assert "row_number(), 1, Partial" in text
     assert "partial_max" in text
 
