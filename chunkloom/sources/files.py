@@ -1,9 +1,12 @@
 """File trees and object stores as record sources.
 
 Listing runs as Spark jobs, one per directory level, so no single process holds the whole
-listing.  Reading is split by bytes, not by directory.  Contents are read twice only where it
-pays: `fingerprints` hashes every file on the executors and returns narrow rows, and `fetch`
-reads the text of just the files that passed dedup, so texts are never shuffled.
+listing.  Where one directory or bucket is too large even for that, pass ``inventory``, a
+DataFrame of (key, size) such as the inventory report of an object store.
+
+Reading is split by bytes, not by directory.  Contents are read twice only where it pays:
+`fingerprints` hashes every file on the executors and returns narrow rows, and `fetch` reads
+the text of just the files that passed dedup, so texts are never shuffled.
 
 A file that cannot be read becomes a row with an error.  A directory that cannot be listed
 fails the job: a listing cut short would look like deleted files.
@@ -168,6 +171,7 @@ class FileSource:
         prefix: str | None = None,
         metadata: Callable[[Column], dict[str, Column]] = lambda key: {},
         seq: int = 0,
+        inventory: DataFrame | None = None,
     ):
         self.spark = spark
         self.workspace_id = workspace_id
@@ -176,15 +180,24 @@ class FileSource:
         self.prefix = prefix
         self.metadata = metadata
         self.seq = seq
+        self.inventory = inventory
         self._entries = None
         self._listing = None
 
     def entries(self) -> DataFrame:
         """``(key, size)`` of the matching files, listed once level by level."""
         if self._entries is None:
-            self._entries = self._list()
+            found = self._list() if self.inventory is None else self.inventory
+            self._entries = self._matching(found.select("key", "size"))
         return self._entries
 
+    def _matching(self, files: DataFrame) -> DataFrame:
+        key = F.col("key")
+        files = files.where(allowed(key, self.extensions))
+        if self.prefix is None:
+            return files.where(~in_hidden_dir(key))
+        return files.where(F.startswith(key, F.lit(self.prefix)))
+
     def _list(self) -> DataFrame:
         spark = self.spark
         base = self._listing = new_dir(spark, "listing")
@@ -203,12 +216,7 @@ class FileSource:
                 break
             frontier = dirs.repartition(tasks, "key")
             level += 1
-        files = spark.read.schema(f"{schema}, level int").parquet(base).where("NOT is_dir")
-        key = F.col("key")
-        files = files.where(allowed(key, self.extensions))
-        if self.prefix is not None:
-            files = files.where(F.startswith(key, F.lit(self.prefix)))
-        return files.select("key", "size")
+        return spark.read.schema(f"{schema}, level int").parquet(base).where("NOT is_dir")
 
     def _visible_dirs(self, dirs: DataFrame) -> DataFrame:
         key = F.col("key")
@@ -290,7 +298,7 @@ def local_source(spark, workspace_id: str, root: str, extensions=None, seq: int
 
 def s3_source(
     spark, workspace_id: str, bucket: str, prefix: str = "", extensions=None, seq: int = 0,
-    make_filesystem=None,
+    make_filesystem=None, inventory: DataFrame | None = None,
 ):
     """Objects of a bucket; credentials come from the default chain of each executor."""
 
@@ -307,12 +315,14 @@ def s3_source(
         prefix=prefix,
         metadata=lambda key: {"s3_key": key, "bucket": F.lit(bucket)},
         seq=seq,
+        inventory=inventory,
     )
 
 
 def azure_source(
     spark, workspace_id: str, account_name: str, account_key: str, container: str,
     prefix: str = "", extensions=None, seq: int = 0, make_filesystem=None,
+    inventory: DataFrame | None = None,
 ):
     def default():
         from pyarrow.fs import AzureFileSystem
@@ -327,4 +337,5 @@ def azure_source(
         prefix=prefix,
         metadata=lambda key: {"blob_name": key, "container": F.lit(container)},
         seq=seq,
+        inventory=inventory,
     )

@@ -7,12 +7,17 @@ from chunkloom.functions.text import hash_content
 
 
 class TableSource:
-    """Records that already are a table (columns of ``schema.RECORDS``, hash not needed)."""
+    """Records that already are a table (columns of ``schema.RECORDS``, hash not needed).
+
+    Only the action ``delete`` deletes; a missing action is an upsert.
+    """
 
     name = "table"
 
     def __init__(self, records: DataFrame):
-        self.records = records.withColumn("content_hash", hash_content(F.col("content")))
+        present = {"action": "upsert", "symbol": "", "symbol_type": "", "content": ""}
+        filled = records.fillna(present, subset=[c for c in present if c in records.columns])
+        self.records = filled.withColumn("content_hash", hash_content(F.col("content")))
 
     def workspaces(self) -> DataFrame:
         return self.records.select("workspace_id").distinct()

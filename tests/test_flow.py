@@ -102,6 +102,16 @@ def test_object_scan(spark, tmp_path):
     assert found["az"]["a.go"].metadata == {"blob_name": "src/a.go", "container": bucket}
     deep = s3_source(spark, "w", bucket, "src/sub/", make_filesystem=LocalFileSystem)
     assert [r.path for r in deep.fingerprints().collect()] == ["D.MD"]
+    listed = spark.createDataFrame(
+        [("src/a.go", 1), ("src/lost.go", 1), ("other/e.go", 1), ("src/noext", 1)],
+        "key string, size long",
+    )
+    given = s3_source(
+        spark, "w", bucket, "src/", make_filesystem=LocalFileSystem, inventory=listed
+    )
+    rows = {r.path: r.error for r in given.fingerprints().collect()}
+    assert set(rows) == {"a.go", "lost.go"} and rows["a.go"] is None
+    assert rows["lost.go"].startswith("FileNotFoundError")
 
 
 class FailingStore(FileStore):
@@ -247,6 +257,13 @@ def test_last_version_decides_the_snapshot(spark, tmp_path):
     assert t.keys() == {("b", "")}
 
 
+def test_missing_action_is_an_upsert(spark, tmp_path):
+    t = Tables(spark, str(tmp_path))
+    rows = versions(spark, {"language": "text", "content": "t", "action": None, "symbol": None})
+    Flow("f").source(TableSource(rows)).transform("fan_out", fan_out).sink(t.chunks).run()
+    assert t.keys() == {("p", "")}
+
+
 class BrokenSink:
     name = "broken"
 
