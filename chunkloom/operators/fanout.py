@@ -4,6 +4,8 @@ Each record takes exactly one branch: deletes and other languages pass unchanged
 chunks gives one row per chunk, and a file without any gives itself as one whole-file row.
 """
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,22 +41,27 @@ def _parts(chunks: Column, fallback: Column) -> Column:
     )
 
 
-def fan_out(records: DataFrame) -> DataFrame:
-    """Records to chunk rows; adds ``file_id``, ``chunk_no`` and ``origin``.
+@lru_cache(maxsize=1)
+def _all_parts(application_id: str) -> Column:
+    """The chunks of one record, whatever its branch.
 
-    ``origin`` is ``chunk``, ``whole`` (a file without chunks) or ``pass`` (not chunked).
+    The expression is large and always the same, so an application builds it once.
     """
     content, language = F.col("content"), F.col("language")
-    parts = F.when(
-        F.col("action") == "delete",
-        F.array(_part(F.col("symbol"), F.col("symbol_type"), content, "pass")),
-    )
+    unchanged = F.array(_part(F.col("symbol"), F.col("symbol_type"), content, "pass"))
+    parts = F.when(F.col("action") == "delete", unchanged)
     for name, (chunker, symbol, kind) in CHUNKERS.items():
         whole = _part(F.lit(symbol), F.lit(kind), content, "whole")
         parts = parts.when(language == name, _parts(chunker(content), whole))
-    parts = parts.otherwise(
-        F.array(_part(F.col("symbol"), F.col("symbol_type"), content, "pass"))
-    )
+    return parts.otherwise(unchanged)
+
+
+def fan_out(records: DataFrame) -> DataFrame:
+    """Records to chunk rows; adds ``file_id``, ``chunk_no`` and ``origin``.
+
+    ``origin`` is ``chunk``, ``whole`` (a file without chunks) or ``pass`` (not chunked).
+    """
+    parts = _all_parts(records.sparkSession.sparkContext.applicationId)
     # The file text travels only inside `parts`, so the generator does not repeat it per chunk.
     kept = [c for c in records.columns if c not in ("symbol", "symbol_type", "content")]
     rows = records.select(*kept, F.posexplode(parts).alias("chunk_no", "part"))
