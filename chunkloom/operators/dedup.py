@@ -30,10 +30,16 @@ def changed_files(files: DataFrame, snapshot: DataFrame) -> DataFrame:
     )
 
 
+def hot_paths(log: DataFrame, seq_block: int = SEQ_BLOCK) -> DataFrame:
+    """Paths with more versions than one block should hold; at most rows / block of them."""
+    return log.groupBy(*PATH).count().where(F.col("count") > seq_block).select(*PATH)
+
+
 def passing_versions(
     log: DataFrame,
     snapshot: DataFrame | None = None,
     *,
+    hot: DataFrame | None = None,
     carry: tuple[str, ...] = (),
     deletes_reset: bool = True,
     seq_block: int = SEQ_BLOCK,
@@ -45,15 +51,21 @@ def passing_versions(
     ignored, so re-adding identical content after a delete is dropped.
 
     Each (path, block) is compared by itself.  Only the last hash of a block is handed to the
-    next one, and that hand-over is computed from one narrow row per path and block.
+    next one, and that hand-over is computed from one narrow row per path and block.  With
+    ``hot``, staged so that its small size is known, only those paths are cut into blocks and
+    the hand-over shrinks to one row for every other path.
     """
+    block = f"seq div {int(seq_block)}"
+    if hot is not None:
+        log = log.join(hot.select(*PATH, F.lit(True).alias("is_hot")), PATH, "left")
+        block = f"CASE WHEN is_hot THEN {block} ELSE 0 END"
     # A delete has no hash.  Both uses of `rows` need the same columns and the same non-null
     # keys, which the join below would ask of one of them only, so they share one shuffle.
     rows = log.select(
         *PATH,
         "seq",
         F.when(F.col("action") != "delete", F.col("content_hash")).alias("hash"),
-        F.expr(f"seq div {int(seq_block)}").alias("block"),
+        F.expr(block).alias("block"),
         *carry,
     ).where("workspace_id IS NOT NULL AND path IS NOT NULL AND block IS NOT NULL")
     compared = rows if deletes_reset else rows.where("hash IS NOT NULL")
@@ -65,20 +77,25 @@ def passing_versions(
         F.lag("seq").over(in_block).isNull().alias("first"),
         F.lead("seq").over(in_block).isNull().alias("last"),
     )
-    tails = within.where("last").select(*PATH, "block", "hash")
+    by_path = Window.partitionBy(*PATH).orderBy("block")
+    ends = within.where("last").select(
+        *PATH,
+        "block",
+        F.lag("hash").over(by_path).alias("handed"),
+        F.lag("block").over(by_path).isNull().alias("first_block"),
+    )
     if snapshot is not None:
-        # Only the snapshot rows of paths in this log matter; the join is narrow.
+        # Only the snapshot rows of paths in this log matter; both joins are narrow.
         paths = compared.select(*PATH).distinct()
         stored = snapshot.join(paths, PATH, "left_semi").select(
-            *PATH, F.lit(None).cast("long").alias("block"), F.col("content_hash").alias("hash")
+            *PATH, F.col("content_hash").alias("stored")
         )
-        tails = tails.unionByName(stored)
-    # Nulls sort first, so the snapshot stands before block 0.
-    carried = tails.select(
-        *PATH,
-        "block",
-        F.lag("hash").over(Window.partitionBy(*PATH).orderBy("block")).alias("carried"),
-    ).where("carried IS NOT NULL AND block IS NOT NULL")
+        ends = ends.join(stored, PATH, "left").withColumn(
+            "handed", F.when(F.col("first_block"), F.col("stored")).otherwise(F.col("handed"))
+        )
+    carried = ends.select(*PATH, "block", F.col("handed").alias("carried")).where(
+        "carried IS NOT NULL AND block IS NOT NULL"
+    )
 
     previous = F.when(F.col("first"), F.col("carried")).otherwise(F.col("previous"))
     passing = (
@@ -95,6 +112,7 @@ def drop_unchanged(
     log: DataFrame,
     snapshot: DataFrame | None = None,
     *,
+    hot: DataFrame | None = None,
     deletes_reset: bool = True,
     seq_block: int = SEQ_BLOCK,
 ) -> DataFrame:
@@ -103,7 +121,7 @@ def drop_unchanged(
     Narrow rows go through the comparison whole.  Texts do not: they are joined to the
     passing keys afterwards.
     """
-    options = {"deletes_reset": deletes_reset, "seq_block": seq_block}
+    options = {"hot": hot, "deletes_reset": deletes_reset, "seq_block": seq_block}
     key = [*PATH, "seq"]
     if "content" not in log.columns:
         carry = tuple(c for c in log.columns if c not in key)

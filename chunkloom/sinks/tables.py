@@ -87,10 +87,11 @@ class SnapshotTable(KeyedTable):
 
     def save(self, seen: DataFrame, deleted: DataFrame, now: datetime) -> None:
         """Upsert the hashes in ``seen`` and drop the paths in ``deleted``."""
-        changes = seen.select(*replay.PATH).unionByName(deleted.select(*replay.PATH))
         stamp = F.lit(now).cast("timestamp").alias("updated_at")
         fresh = seen.select(*replay.PATH, "content_hash", stamp)
         with Scratch(self.spark) as scratch:
+            changes = seen.select(*replay.PATH).unionByName(deleted.select(*replay.PATH))
+            changes = scratch.staged(changes, "changes")
             base, places = self._touched(scratch, changes)
             kept = delete_from_snapshot(base, changes)
             self._replace(scratch, kept.unionByName(fresh), places)

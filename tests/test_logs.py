@@ -5,7 +5,12 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from chunkloom.operators.dedup import changed_files, drop_unchanged, passing_versions
+from chunkloom.operators.dedup import (
+    changed_files,
+    drop_unchanged,
+    hot_paths,
+    passing_versions,
+)
 from chunkloom.operators.replay import merge_chunks, merge_points
 from chunkloom.plans.views import NOW, shape_events
 from chunkloom.schema import CHUNKS, POINTS, SNAPSHOT
@@ -63,6 +68,11 @@ def test_passing_equals_loop(spark, deletes_reset, seq_block):
     wide = drop_unchanged(log.withColumn("content", F.lit("t")), snapshot(spark), **options)
     assert {(r[0], r[1], r[2]) for r in narrow.collect()} == wanted
     assert {(r[0], r[1], r[2]) for r in wide.collect()} == wanted
+    hot = hot_paths(log, seq_block)
+    if seq_block == 50:
+        assert {r.path for r in hot.collect()} == {"hot"}
+    split = drop_unchanged(log, snapshot(spark), hot=hot, **options)
+    assert {(r[0], r[1], r[2]) for r in split.collect()} == wanted
 
 
 def test_passing_edges(spark):
