@@ -16,8 +16,9 @@ BLOCK_BYTES = 1 << 20
 POSITION_BITS = 28
 _POSITION_MASK = U((1 << POSITION_BITS) - 1)
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
+NOT_ALNUM = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -71,6 +72,11 @@ class Sequence:
         return mix(raw * powers(self.family, n, True))
 
 
+def lower_bytes(buf: np.ndarray) -> np.ndarray:
+    """A-Z lower-cased, nothing else."""
+    return _LOWER[buf]
+
+
 def bytes_sequence(buf: np.ndarray, family: int) -> Sequence:
     return Sequence(_byte_values(family)[buf], family)
 
@@ -93,9 +99,11 @@ def text_blocks(column: pa.Array, limit: int = BLOCK_BYTES):
         lo = hi
 
 
-def words(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts, ends and text number of the words between ASCII white space; none spans two texts."""
-    inside = ~_SPACE[buf]
+def words(
+    buf: np.ndarray, offsets: np.ndarray, separators: np.ndarray = SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and text number of the words between separators; none spans two texts."""
+    inside = ~separators[buf]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     last = inside.copy()

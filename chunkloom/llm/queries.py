@@ -2,9 +2,23 @@
 
 from pyspark.sql import functions as F
 
+from chunkloom.llm.decontaminate import contamination
 from chunkloom.llm.minhash import near_duplicates
 from chunkloom.llm.substring_dedup import substring_dedup
 from chunkloom.llm.suffix_array import suffix_dedup
+from chunkloom.llm.token_counts import token_counts
+from chunkloom.llm.toxicity import fit, fold, score_of
+from chunkloom.llm.url_filter import url_filter
+
+RULES = [
+    ("allow", "com", "/"),
+    ("block", "example.com", "/en/"),
+    ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"),
+    ("block", "net", "/fr/"),
+]
+TOKENIZER = "word_bpe_49k.json"
+TOKEN_LIMIT = 2048
 
 
 def _table(spark, sf_dir, name):
@@ -23,6 +37,38 @@ def op3_minhash(spark, sf_dir):
     return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
+def op5_decontamination(spark, sf_dir):
+    out = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return out.select(
+        F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
+def op6_token_counts(spark, sf_dir):
+    import public_tokenizers
+
+    path = public_tokenizers.path(TOKENIZER)
+    out = token_counts(_table(spark, sf_dir, "documents"), str(path))
+    over = (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit")
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens", over)
+
+
+def op7_url_filter(spark, sf_dir):
+    out = url_filter(_table(spark, sf_dir, "pages"), RULES)
+    return out.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
+
+
+def op8_toxicity(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    model = fit(docs, _table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", score_of(spark, model, F.col("text")).alias("score"))
+    return scored.select(
+        "doc_id", (fold(F.col("doc_id")) == 0).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def op10_suffix_array(spark, sf_dir):
     out = suffix_dedup(_table(spark, sf_dir, "documents"))
     return out.select(
@@ -34,5 +80,9 @@ def op10_suffix_array(spark, sf_dir):
 QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_minhash": op3_minhash,
+    "op5_decontamination": op5_decontamination,
+    "op6_token_counts": op6_token_counts,
+    "op7_url_filter": op7_url_filter,
+    "op8_toxicity": op8_toxicity,
     "op10_suffix_array": op10_suffix_array,
 }
