@@ -9,8 +9,9 @@ from chunkloom.llm.stage import same_row
 
 
 def per_row(ranges: DataFrame) -> DataFrame:
-    """Columns ``id``, ``h`` and all ranges of that row; no longer than the text itself."""
-    return ranges.groupBy("id", "h").agg(F.collect_list(F.struct("lo", "n")).alias("ranges"))
+    """Columns ``id``, ``h`` and all ranges of that row; their number is bounded by the text's length."""
+    inside = [c for c in ranges.columns if c not in ("id", "h")]
+    return ranges.groupBy("id", "h").agg(F.collect_list(F.struct(*inside)).alias("ranges"))
 
 
 def with_ranges(docs: DataFrame, ranges: DataFrame, how: str) -> DataFrame:
@@ -19,13 +20,14 @@ def with_ranges(docs: DataFrame, ranges: DataFrame, how: str) -> DataFrame:
     return docs.join(listed, same_row(docs, listed), how).select(*kept, listed["ranges"])
 
 
-def range_arrays(column: pa.ListArray):
-    """For every row of an Arrow column of ranges, its ``lo`` and ``n`` as arrays."""
+def range_arrays(column: pa.ListArray, *fields: str):
+    """For every row of an Arrow column of ranges, its fields (``lo`` and ``n``) as arrays."""
     flat = column.values
-    lo = flat.field("lo").to_numpy(zero_copy_only=False).astype(np.int64)
-    n = flat.field("n").to_numpy(zero_copy_only=False).astype(np.int64)
+    each = [
+        flat.field(f).to_numpy(zero_copy_only=False).astype(np.int64) for f in fields or ("lo", "n")
+    ]
     offsets = column.offsets.to_numpy()
     valid = column.is_valid().to_numpy(zero_copy_only=False)
     for i in range(len(column)):
         a, b = (offsets[i], offsets[i + 1]) if valid[i] else (0, 0)
-        yield lo[a:b], n[a:b]
+        yield [values[a:b] for values in each]

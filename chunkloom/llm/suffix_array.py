@@ -9,10 +9,13 @@ its group, so later and finer digits see only what may still repeat:
   it, so one row stands for a run of some hundred suffixes. A run whose gram occurs once is done.
 * digit 2: the whole stretch that a run's suffixes span, with the place of the gram in it. Runs equal
   in it repeat as a whole, however many they are, and go on with one representative.
-* digit 3: single suffixes through ``length`` bytes, for runs that are alone in digit 2 but not in
-  digit 1, and one representative of each class they may equal.
+* digit 3: parts of ``RADIX`` neighbouring suffixes, cut at fixed distances from the gram, for runs that are alone in
+  digit 2 but not in digit 1, and one representative of each class they may equal. A part whose core
+  (the bytes that all its suffixes share) is alone is done; parts equal as a whole repeat as a whole.
+* digit 4: single suffixes through ``length`` bytes, for parts that are alone though their cores are not, and
+  representatives of parts with those cores.
 
-Digit 3 sees only the neighbourhood of places where copies differ. Null and short texts have no windows.
+Digits 3 and 4 see only the neighbourhood of places where copies differ. Null and short texts have no windows.
 Rows that repeat id and text are copies of each other. Equality in a digit is equality of 128-bit hashes.
 """
 
@@ -36,9 +39,11 @@ from chunkloom.llm.spans import range_arrays, with_ranges
 from chunkloom.llm.stage import Stage, keyed
 
 LENGTH = 400
-GRAM = 48
+GRAM = 160
+RADIX = 16
 _SEGMENT = 4 << 20
-_RUN = "id {}, h long, a long, c1 long, c2 long, lo int, n int"
+_RUN = "id {}, h long, a long, c1 long, c2 long, lo int, n int, g int"
+_PART = "id {}, h long, core long, w1 long, w2 long, lo int, n int"
 _SUFFIX = "id {}, h long, w1 long, w2 long, lo int"
 _RESULT = "id {}, n_bytes long, n_removed long, spans array<struct<start:int,end:int>>, kept binary"
 
@@ -50,7 +55,7 @@ def _segments(column: pa.Array, length: int, block: int = BLOCK_BYTES):
             yield first, buf, offsets, 0
             continue
         for lo in range(0, len(buf), _SEGMENT):
-            piece = buf[lo : lo + _SEGMENT + length - 1]
+            piece = buf[lo : lo + _SEGMENT + 2 * length]
             yield first, piece, np.array([0, len(piece)]), lo
 
 
@@ -65,6 +70,7 @@ def _runs(length: int, gram: int):
                 for start, n in zip(offsets[:-1].tolist(), room.tolist()):
                     if n > 0:
                         valid[start : start + n] = True
+                valid[_SEGMENT:] = False
                 one = bytes_sequence(buf, 0)
                 grams = one.grams(gram)
                 lo, hi, p = minimizer_runs(grams, length - gram + 1, valid)
@@ -83,8 +89,48 @@ def _runs(length: int, gram: int):
                         signed(two.hashes(lo, hi + length)),
                         pa.array((lo - offsets[row] + shift).astype(np.int32)),
                         pa.array((hi - lo + 1).astype(np.int32)),
+                        pa.array((p - lo).astype(np.int32)),
                     ],
-                    names=["id", "h", "a", "c1", "c2", "lo", "n"],
+                    names=["id", "h", "a", "c1", "c2", "lo", "n", "g"],
+                )
+
+    return run
+
+
+def _parts(length: int):
+    """Core and whole of every part of the given runs; a run's gram is ``g`` after its first suffix."""
+
+    def run(batches):
+        for batch in batches:
+            runs = list(range_arrays(batch.column("ranges"), "lo", "n", "g"))
+            for row, text, _, shift in _segments(batch.column("text"), length, 1):
+                lo, n, g = runs[row]
+                here = (lo >= shift) & (lo < shift + _SEGMENT) & (lo + n + length - 1 <= shift + len(text))
+                lo, n, g = lo[here] - shift, n[here], g[here]
+                if not len(lo):
+                    continue
+                # distances d from a suffix to the gram: g - n + 1 .. g, cut at multiples of RADIX
+                low = (g - n + 1) // RADIX
+                j, owner = spread_ranges(low, g // RADIX - low + 1)
+                p = (lo + g)[owner]
+                far = np.minimum(j * RADIX + RADIX - 1, g[owner])
+                near = np.maximum(j * RADIX, (g - n + 1)[owner])
+                first, last = p - far, p - near
+                one, two = bytes_sequence(text, 0), bytes_sequence(text, 1)
+                place = mix((j * 1_000_003 + far - near).astype(U))
+                core = one.hashes(p - j * RADIX, p - j * RADIX - RADIX + 1 + length)
+                take = pa.array(np.full(len(first), row))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("id").take(take),
+                        batch.column("h").take(take),
+                        signed(core ^ mix(j.astype(U))),
+                        signed(one.hashes(first, last + length) ^ place),
+                        signed(two.hashes(first, last + length)),
+                        pa.array((first + shift).astype(np.int32)),
+                        pa.array((far - near + 1).astype(np.int32)),
+                    ],
+                    names=["id", "h", "core", "w1", "w2", "lo", "n"],
                 )
 
     return run
@@ -165,7 +211,7 @@ def repeated_ranges(
     # digit 2
     key = ["a", "c1", "c2"]
     classes = stage.table(
-        met.groupBy(*key).agg(F.count("*").alias("k"), F.min(F.struct("id", "h", "lo", "n")).alias("r")),
+        met.groupBy(*key).agg(F.count("*").alias("k"), F.min(F.struct("id", "h", "lo", "n", "g")).alias("r")),
         "classes",
     )
     repeats = met.join(classes.where("k > 1").select(*key), key, "left_semi").select(
@@ -183,22 +229,40 @@ def repeated_ranges(
     )
 
     # digit 3
-    suffixes = stage.table(
-        with_ranges(narrow, open_runs, "inner").mapInArrow(
-            _suffixes(length), _SUFFIX.format(kind)
+    parts = stage.table(
+        with_ranges(narrow, open_runs, "inner").mapInArrow(_parts(length), _PART.format(kind)), "parts"
+    )
+    digit = ["w1", "w2"]
+    wholes = stage.table(
+        parts.groupBy("core", *digit).agg(
+            F.count("*").alias("k"), F.min(F.struct("id", "h", "lo", "n")).alias("r")
         ),
+        "wholes",
+    )
+    equal_parts = parts.join(wholes.where("k > 1").select("core", *digit), ["core", *digit], "left_semi")
+    cores = stage.table(
+        wholes.groupBy("core")
+        .agg(F.count("*").alias("all"), F.min("k").alias("least"))
+        .where("all > 1 AND least = 1")
+        .select("core"),
+        "cores",
+    )
+    open_parts = stage.table(wholes.join(cores, "core", "left_semi").select("r.*"), "open")
+
+    # digit 4
+    suffixes = stage.table(
+        with_ranges(narrow, open_parts, "inner").mapInArrow(_suffixes(length), _SUFFIX.format(kind)),
         "suffixes",
     )
-    digit = ["w1", "w2"]
     equal = stage.table(
         suffixes.groupBy(*digit).agg(F.count("*").alias("k")).where("k > 1").select(*digit), "equal"
     )
     single = suffixes.join(equal, digit, "left_semi").select(
         "id", "h", "lo", F.lit(length).alias("n")
     )
-    out = repeats.unionByName(single)
+    out = repeats.unionByName(equal_parts.select("id", "h", "lo", whole)).unionByName(single)
     out = stage.table(out, "ranges")
-    stage.drop(met, classes, mixed, open_runs, suffixes, equal)
+    stage.drop(met, classes, mixed, open_runs, parts, wholes, cores, open_parts, suffixes, equal)
     return out
 
 
