@@ -10,12 +10,15 @@ sequence; no words: the empty set, linked with nothing). Documents with
   concentration of independent hashing in O(t log t + n) time.
 * Bands of ``rows`` coordinates make buckets. With 48 bands of 5 rows, a pair at similarity 0.85 shares no
   bucket with probability 6e-13, at 0.80 with 5e-9.
-* Verify on whole sets. Equal sets are one class from the start. First every class meets the least
-  document of each of its buckets; links found join groups. Then, only in buckets whose classes are still in
-  different groups, the classes outside a bucket's largest group meet those of other groups. No pair
-  inside a joined group is built, however large the group, and each other pair of a bucket is verified.
+* Verify on whole sets. Equal sets are one class from the start. Shingles that no other candidate
+  has bound every similarity from above: with q of n and p of m such shingles, the intersection is at most
+  min(n - q, m - p). First every class meets the class of each of its buckets that has the smallest share of them,
+  which is the most central; links found join groups. Then, only in buckets whose classes are still in different
+  groups, the classes outside a bucket's largest group meet those of other groups. No pair inside a
+  joined group is built, however large the group; each other pair is excluded by the bound or verified.
 
-Rows without an id link with nothing and are kept. Rows that share an id are one document to the links.
+Rows without an id link with nothing and are kept. Rows that share an id are one document to the links, with
+all their shingles.
 """
 
 import numpy as np
@@ -133,9 +136,10 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _fits(n, m, percent: int):
-    """Sizes that allow the similarity."""
-    return 100 * F.least(n, m) >= percent * F.greatest(n, m)
+def _possible(n, q, m, p, percent: int):
+    """Whether sets of n and m shingles, q and p of them found nowhere else, can be similar enough."""
+    both = F.least(n - q, m - p)
+    return 100 * both >= percent * (n + m - both)
 
 
 def near_duplicates(
@@ -176,8 +180,8 @@ def near_duplicates(
     spread = chosen.select("id", "h", "n", F.explode("bands").alias("bucket"))
     spread = stage.table(spread, "bands")
     full = stage.table(
-        spread.groupBy("bucket").agg(F.min("id").alias("pivot"), F.max("id").alias("top"))
-        .where("pivot < top").select("bucket", "pivot"),
+        spread.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+        .where("low < high").select("bucket"),
         "buckets",
     )
     members = stage.table(spread.join(full, "bucket"), "members")
@@ -192,21 +196,38 @@ def near_duplicates(
         "sets",
     )
 
-    # every class with the least document of each bucket
-    sizes = members.groupBy("id").agg(F.max("n").alias("size"))
-    pivots = sizes.select(F.col("id").alias("pivot"), F.col("size").alias("pivot_size"))
-    stars = members.where("pivot < id").select("pivot", "id", "n").distinct()
-    stars = stars.join(pivots, "pivot").where(_fits(F.col("n"), F.col("pivot_size"), percent))
-    stars = stage.table(stars.select(F.col("pivot").alias("a"), F.col("id").alias("b")), "stars")
+    # every class with the most central one of each bucket
+    elements = sets.select("id", F.explode("elements").alias("e"))
+    lone = elements.groupBy("e").agg(F.min("id").alias("id"), F.count("*").alias("k")).where("k = 1")
+    own = stage.table(lone.groupBy("id").agg(F.count("*").alias("own")), "own")
+    rated = sets.select("id", F.size("elements").cast("long").alias("n")).join(own, "id", "left")
+    rated = stage.table(
+        members.select("bucket", "id").join(
+            rated.select("id", "n", F.coalesce("own", F.lit(0)).alias("q")), "id"
+        ),
+        "rated",
+    )
+    stage.drop(members, own)
+    centre = F.min(F.struct((F.col("q") / F.col("n")).alias("share"), "id", "n", "q")).alias("r")
+    pivots = stage.table(
+        rated.groupBy("bucket").agg(centre).select(
+            "bucket", F.col("r.id").alias("x"), F.col("r.n").alias("m"), F.col("r.q").alias("p")
+        ),
+        "pivots",
+    )
+    pair = [F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")]
+    possible = _possible(F.col("n"), F.col("q"), F.col("m"), F.col("p"), percent)
+    stars = rated.join(pivots, "bucket").where((F.col("x") != F.col("id")) & possible)
+    stars = stage.table(stars.select(*pair).distinct(), "stars")
     links = stage.table(_verified(stars, sets, percent), "verified")
-    stage.drop(stars)
+    stage.drop(stars, pivots)
     labels = stage.table(components(stage, links), "labels")
 
     # buckets that still hold several groups: classes outside the largest group with the others
     node = labels.select(F.col("node").alias("id"), "label")
     placed = stage.table(
-        members.select("bucket", "id", "n").join(node, "id", "left")
-        .select("bucket", "id", "n", F.coalesce("label", "id").alias("label")),
+        rated.join(node, "id", "left")
+        .select("bucket", "id", "n", "q", F.coalesce("label", "id").alias("label")),
         "placed",
     )
     groups = placed.groupBy("bucket", "label").agg(F.count("*").alias("k"))
@@ -219,18 +240,15 @@ def near_duplicates(
     )
     rest = stage.table(placed.join(mixed, "bucket"), "rest")
     few = rest.where("label <> main").select(
-        "bucket", F.col("id").alias("x"), F.col("n").alias("xn"), F.col("label").alias("xl")
-    )
-    crossed = (
-        few.join(rest, "bucket")
-        .where((F.col("xl") != F.col("label")) & _fits(F.col("n"), F.col("xn"), percent))
-        .select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b"))
-        .distinct()
-    )
-    crossed = stage.table(crossed, "crossed")
+        "bucket", F.col("id").alias("x"), F.col("n").alias("m"), F.col("q").alias("p"),
+        F.col("label").alias("other"),
+    )
+    able = few.where(_possible(F.col("m"), F.col("p"), F.col("m") - F.col("p"), F.lit(0), percent))
+    crossed = able.join(rest, "bucket").where((F.col("other") != F.col("label")) & possible)
+    crossed = stage.table(crossed.select(*pair).distinct(), "crossed")
     more = stage.table(links.unionByName(_verified(crossed, sets, percent)), "verified")
     labels = stage.table(components(stage, more), "labels")
-    stage.drop(members, sets, links, placed, mixed, rest, crossed, more)
+    stage.drop(rated, sets, links, placed, mixed, rest, crossed, more)
 
     owner = classes.select("s1", "s2", F.col("n").alias("size"), "rep")
     component = F.coalesce("label", "rep", "id")
