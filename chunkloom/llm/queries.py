@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from chunkloom.llm.decontaminate import contamination
+from chunkloom.llm.embedding_dedup import vector_duplicates
 from chunkloom.llm.minhash import near_duplicates
 from chunkloom.llm.substring_dedup import substring_dedup
 from chunkloom.llm.suffix_array import suffix_dedup
@@ -37,6 +38,11 @@ def op3_minhash(spark, sf_dir):
     return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 
+def op4_embedding_dedup(spark, sf_dir):
+    out = vector_duplicates(_table(spark, sf_dir, "embeddings"))
+    return out.select(F.col("id").alias("vec_id"), "n_links", "component_id", "kept")
+
+
 def op5_decontamination(spark, sf_dir):
     out = contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return out.select(
@@ -80,6 +86,7 @@ def op10_suffix_array(spark, sf_dir):
 QUERIES = {
     "op2_substring_dedup": op2_substring_dedup,
     "op3_minhash": op3_minhash,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op5_decontamination": op5_decontamination,
     "op6_token_counts": op6_token_counts,
     "op7_url_filter": op7_url_filter,
