@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from chunkloom.llm.decontaminate import contamination
 from chunkloom.llm.embedding_dedup import vector_duplicates
 from chunkloom.llm.minhash import near_duplicates
+from chunkloom.llm.mixing import mix
 from chunkloom.llm.substring_dedup import substring_dedup
 from chunkloom.llm.suffix_array import suffix_dedup
 from chunkloom.llm.token_counts import token_counts
@@ -75,6 +76,11 @@ def op8_toxicity(spark, sf_dir):
     )
 
 
+def op9_mixing(spark, sf_dir):
+    out = mix(_table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
 def op10_suffix_array(spark, sf_dir):
     out = suffix_dedup(_table(spark, sf_dir, "documents"))
     return out.select(
@@ -91,5 +97,6 @@ QUERIES = {
     "op6_token_counts": op6_token_counts,
     "op7_url_filter": op7_url_filter,
     "op8_toxicity": op8_toxicity,
+    "op9_mixing": op9_mixing,
     "op10_suffix_array": op10_suffix_array,
 }
