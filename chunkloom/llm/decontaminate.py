@@ -20,7 +20,7 @@ share a result; repeated items count once. Other columns are ignored.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chunkloom.llm.stage import Stage, keyed, same_row
+from chunkloom.llm.stage import Stage, keyed, same_row, without
 
 WINDOW = 13
 BROADCAST_BYTES = 16 << 20
@@ -162,3 +162,12 @@ def contamination(
             ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"),
         )
     )
+
+
+def drop_contaminated(
+    docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings
+) -> DataFrame:
+    """Rows of documents that are not contaminated, with all their columns."""
+    found = contamination(docs, items, id_col=id_col, text_col=text_col, **settings)
+    gone = Stage(docs.sparkSession).table(found.where("contaminated").select("id", "h").distinct(), "contaminated")
+    return without(docs, gone, id_col, text_col)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from chunkloom.llm.links import components
 from chunkloom.llm.numeric import U, Sequence, mix, signed, text_blocks, word_hashes, words
-from chunkloom.llm.stage import Stage, keyed, same_row
+from chunkloom.llm.stage import Stage, keyed, same_row, without
 
 SHINGLE = 5
 PERCENT = 80
@@ -266,3 +266,26 @@ def near_duplicates(
             F.col("id").eqNullSafe(component).alias("kept"),
         )
     )
+
+
+def drop_near_duplicates(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **settings
+) -> DataFrame:
+    """One row of each group, with all its columns: the one with the smallest id.
+
+    Rows that repeat id and text are one document too; of those any one stays.
+    """
+    stage = Stage(docs.sparkSession)
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **settings)
+    found = stage.table(found.select("id", "h", "kept"), "found")
+    left = without(docs, found.where("NOT kept").select("id", "h").distinct(), id_col, text_col)
+    again = found.where("kept").groupBy("id", "h").agg(F.count("*").alias("k")).where("k > 1")
+    again = stage.table(again.select("id", "h"), "again")
+    if again.isEmpty():
+        return left
+    rows = keyed(left, id_col, text_col, keep_row=True)
+    marked = again.withColumnsRenamed({"id": "key", "h": "key_h"})
+    rows = rows.join(marked, F.col("id").eqNullSafe(F.col("key")) & (F.col("h") == F.col("key_h")), "left")
+    single = rows.where("key_h IS NULL").select("row.*")
+    once = rows.where("key_h IS NOT NULL").dropDuplicates(["id", "h"]).select("row.*")
+    return single.unionByName(once)

@@ -21,7 +21,7 @@ nothing. Rows that repeat id and text share the hash, and get copies in any orde
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chunkloom.llm.stage import Stage
+from chunkloom.llm.stage import Stage, keyed
 
 WEIGHTS = (3, 1, 2)
 TOTAL = 1.5
@@ -187,3 +187,25 @@ def mix(
     return given.join(known, F.col("source").eqNullSafe(F.col("of"))).select(
         "id", "h", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken")
     )
+
+
+def mixed(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", copy_col: str = "copy", **settings
+) -> DataFrame:
+    """Each row as often as the mix takes it, with all its columns and the number of the copy, from 1.
+
+    A column of that name gives way. Of rows that repeat id and text each gets copies of its own.
+    """
+    stage = Stage(docs.sparkSession)
+    dealt = mix(docs, id_col=id_col, text_col=text_col, **settings)
+    twin = Window.partitionBy("id", "h")
+    dealt = dealt.select(
+        F.col("id").alias("key"), F.col("h").alias("key_h"), "copies",
+        F.row_number().over(twin.orderBy(F.desc("copies"))).alias("key_twin"),
+    )
+    dealt = stage.table(dealt.where("copies > 0"), "dealt")
+    rows = keyed(docs.drop(copy_col), id_col, text_col, keep_row=True).drop("text")
+    rows = rows.withColumn("twin", F.row_number().over(twin.orderBy(F.lit(0))))
+    same = F.col("id").eqNullSafe(F.col("key")) & (F.col("h") == F.col("key_h")) & (F.col("twin") == F.col("key_twin"))
+    number = F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias(copy_col)
+    return rows.join(dealt, same).select("row", number).select("row.*", copy_col)

@@ -10,7 +10,10 @@ from chunkloom.llm.substring_dedup import substring_dedup
 from chunkloom.llm.suffix_array import suffix_dedup
 from chunkloom.llm.token_counts import token_counts
 from chunkloom.llm.toxicity import fit, fold, score_of
+from chunkloom.llm.stage import Stage
 from chunkloom.llm.url_filter import url_filter
+from chunkloom.llm.warc import deduplicated, page_of, register
+from chunkloom.sinks.scratch import new_dir
 
 RULES = [
     ("allow", "com", "/"),
@@ -27,6 +30,19 @@ def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc(spark, sf_dir):
+    register(spark)
+    path = new_dir(spark, "archives")
+    records = deduplicated(Stage(spark), _table(spark, sf_dir, "pages"))
+    records.write.format("warc").mode("append").option("path", path).save()
+    schema = "record_id string, payload_bytes long, payload_digest string, record_type string, refers_to string"
+    back = spark.read.format("warc").schema(schema).option("path", path).option("verify", "true").load()
+    return back.select(
+        page_of(F.col("record_id")).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        page_of(F.col("refers_to")).alias("refers_to"),
+    )
+
+
 def op2_substring_dedup(spark, sf_dir):
     out = substring_dedup(_table(spark, sf_dir, "documents"))
     return out.select(
@@ -90,6 +106,7 @@ def op10_suffix_array(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op2_substring_dedup": op2_substring_dedup,
     "op3_minhash": op3_minhash,
     "op4_embedding_dedup": op4_embedding_dedup,

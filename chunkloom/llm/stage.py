@@ -70,3 +70,9 @@ def keyed(docs: DataFrame, id_col: str, text_col: str, keep_row: bool = False) -
 def same_row(left: DataFrame, right: DataFrame):
     """Join condition on (id, h); null ids meet null ids."""
     return left["id"].eqNullSafe(right["id"]) & (left["h"] == right["h"])
+
+
+def without(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Rows of ``docs`` whose (id, h) is not in ``gone``, with all their columns."""
+    rows = keyed(docs, id_col, text_col, keep_row=True)
+    return rows.join(gone, same_row(rows, gone), "left_anti").select("row.*")

@@ -278,3 +278,47 @@ def suffix_dedup(
     found = repeated_ranges(stage, rows, length)
     listed = with_ranges(rows, found, "left")
     return listed.mapInArrow(_cut, _RESULT.format(dict(rows.dtypes)["id"]))
+
+
+def _trimmed(text: pa.Array, ranges: pa.Array) -> pa.Array:
+    kept = []
+    for value, (lo, n) in zip(text, range_arrays(ranges), strict=True):
+        data = value.as_py().encode()
+        start, end = merge_spans(lo, lo + n)
+        out, at = [], 0
+        for a, b in zip(start.tolist(), end.tolist()):
+            while a < b and data[a] & 0xC0 == 0x80:
+                a += 1
+            while b > a and b < len(data) and data[b] & 0xC0 == 0x80:
+                b -= 1
+            out.append(data[at:a])
+            at = b
+        kept.append(b"".join([*out, data[at:]]).decode())
+    return pa.array(kept, pa.string())
+
+
+def trim_repeats(
+    docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text",
+    count_col: str = "n_chars",
+) -> DataFrame:
+    """The rows with repeated strings cut out of their texts, in whole characters; all columns stay.
+
+    A cut that would begin or end inside a character leaves that character. ``count_col``, if there, is counted anew.
+    """
+    stage = Stage(docs.sparkSession)
+    rows = keyed(docs, id_col, text_col, keep_row=True)
+    found = repeated_ranges(stage, rows.select("id", "h", "text"), length)
+    listed = with_ranges(rows, found, "left")
+    new = F.when(F.col("ranges").isNull(), F.col(f"row.`{text_col}`").cast("string")).otherwise(
+        F.arrow_udf(_trimmed, "string")(F.col("text"), F.coalesce("ranges", F.array().cast("array<struct<lo:int,n:int>>")))
+    )
+    cut = listed.select("row", new.alias("new"))
+    columns = []
+    for name in docs.columns:
+        value = F.col(f"row.`{name}`")
+        if name == text_col:
+            value = F.col("new")
+        elif name == count_col:
+            value = F.length("new").cast(docs.schema[name].dataType)
+        columns.append(value.alias(name))
+    return cut.select(*columns)

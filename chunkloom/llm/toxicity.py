@@ -240,3 +240,9 @@ def score_of(spark: SparkSession, model: Model | None, text: Column) -> Column:
         return pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
     return score(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """Rows of documents with a score below the threshold, with all their columns."""
+    score = score_of(docs.sparkSession, fit(docs, labels), F.col("text"))
+    return docs.where(score < threshold)
