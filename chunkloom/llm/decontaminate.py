@@ -9,7 +9,7 @@ hit if it lies in an occurrence of a window.
   position is a candidate of a window only if it holds the window's rarest word.
 * Bounds. The word's place in the window fixes where the occurrence would start and end; both must lie
   in the document.
-* Verify. The words there are compared with the window's, inside the join.
+* Verify. The words there are compared with the window's.
 
 The window table is broadcast only if it is under ``BROADCAST_BYTES``; a larger one is joined by shuffle, and
 positions then carry the words around them instead of whole documents. Nulls: a null text has no words, an item
@@ -88,15 +88,15 @@ def hits(
             F.size("said").alias("m"), "at", "w",
         )
     begin, n = F.col("at") - F.col("place"), F.size("words")
-    there = F.transform(
-        F.slice("said", F.greatest(begin - F.col("cut"), F.lit(0)) + 1, n), lambda w: _lower(w)
+    inside = (F.lower("w") == F.col("token")) & (begin >= 0) & (begin + n <= F.col("m"))
+    near = spread.join(fit(prefix), inside)
+    # the generator keeps the comparison above the join: only the words of candidates leave the document
+    there = F.slice("said", F.greatest(begin - F.col("cut"), F.lit(0)) + 1, n)
+    near = near.select(
+        "id", "h", "window", "words", begin.alias("start"), n.alias("n"), F.explode(F.array(there)).alias("there")
     )
-    condition = (
-        (F.lower("w") == F.col("token")) & (begin >= 0) & (begin + n <= F.col("m"))
-        & (there == F.col("words"))
-    )
-    found = spread.join(fit(prefix), condition).select(
-        "id", "h", "window", begin.alias("start"), n.alias("n")
+    found = near.where(F.transform("there", lambda w: _lower(w)) == F.col("words")).select(
+        "id", "h", "window", "start", "n"
     )
     found = stage.table(found, "hits")
     stage.drop(counts, prefix)
