@@ -60,7 +60,7 @@ def hits(
 
     # order: how often documents use the words of windows
     vocabulary = windows.select(F.explode("words").alias("w")).select(F.lower("w").alias("token")).distinct()
-    used = rows.select(F.explode(_words(F.col("text"))).alias("w")).select(F.lower("w").alias("token"))
+    used = rows.select(F.explode_outer(_words(F.col("text"))).alias("w")).select(F.lower("w").alias("token"))
     counts = stage.table(
         used.join(fit(vocabulary), "token").groupBy("token").agg(F.count("*").alias("uses")), "uses"
     )
@@ -79,11 +79,11 @@ def hits(
     if small:
         spread = spread.select(
             "id", "h", "said", F.lit(0).alias("cut"), F.size("said").alias("m"),
-            F.posexplode("said").alias("at", "w"),
+            F.posexplode_outer("said").alias("at", "w"),
         )
     else:
         cut = F.greatest(F.col("at") - (window - 1), F.lit(0))
-        spread = spread.select("id", "h", "said", F.posexplode("said").alias("at", "w")).select(
+        spread = spread.select("id", "h", "said", F.posexplode_outer("said").alias("at", "w")).select(
             "id", "h", F.slice("said", cut + 1, F.lit(2 * window - 1)).alias("said"), cut.alias("cut"),
             F.size("said").alias("m"), "at", "w",
         )
