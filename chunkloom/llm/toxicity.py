@@ -29,6 +29,7 @@ from chunkloom.llm.numeric import U, bytes_sequence, lower_bytes, mix, text_bloc
 from chunkloom.llm.stage import Stage
 
 CALIBRATION_ROWS = 50_000
+BROADCAST_LABELS = 2_000_000
 WINDOW = 12
 DISCOUNT = 0.75
 ORDERS = (2, 4, 6)
@@ -202,6 +203,9 @@ def fit(
     )
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
     narrow = docs.select(F.col(id_col).alias("id"), text)
+    toxic = stage.table(toxic, "labels")
+    if toxic.count() <= BROADCAST_LABELS:
+        toxic = F.broadcast(toxic)  # two numbers a row: some 64 MB at most; more are joined by shuffle
     labelled = narrow.join(toxic, narrow["id"] == toxic["key"])
     model = count_model(stage, labelled.where(fold(F.col("id")) != 4).select("text", "toxic"))
     if model is None:
