@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from chunkloom.functions.text import let
 
 _STARTS = "array<struct<i:int,pos:int>>"
+# Pieces folded into one small list of starts, before that list joins the others.
+_BLOCK = 256
 
 
 # Stands for a line break inside a literal, which ends no statement.
@@ -52,16 +54,36 @@ def statement_groups(
     A non-blank piece opens a statement when no bracket is open and the last non-blank piece
     before it ``ends`` one.  ``done(groups, balanced)`` gets ``array<struct<text, pos>>``, where
     ``pos`` sums ``measure`` over all earlier pieces, and whether the brackets matched.
-    Only the start of each statement is kept while folding, so the fold stays linear.
+    Only the start of each statement is kept while folding.  An append copies its list, so starts
+    are gathered block by block: a list holds one block, and the list of lists grows once a block.
     """
+    none = F.array().cast(_STARTS)
     first = F.struct(
         F.lit(0).alias("i"),
         F.lit(0).alias("pos"),
         F.lit(0).alias("depth"),
         F.lit(";").alias("last"),
         F.lit(True).alias("balanced"),
-        F.array().cast(_STARTS).alias("starts"),
+        F.array().cast(f"array<{_STARTS}>").alias("starts"),
     )
+    carried = ["i", "pos", "depth", "last", "balanced"]
+
+    def fold_block(state, block):
+        opened = F.struct(*[state[c].alias(c) for c in carried], none.alias("starts"))
+        return let(
+            F.aggregate(block, opened, step),
+            lambda inner: F.struct(
+                *[inner[c].alias(c) for c in carried],
+                F.array_append(state.starts, inner.starts).alias("starts"),
+            ),
+        )
+
+    def blocks(parts):
+        count = F.ceil(F.size(parts) / _BLOCK).cast("int")
+        numbers = F.when(count > 0, F.sequence(F.lit(0), count - 1)).otherwise(
+            F.array().cast("array<int>")
+        )
+        return F.transform(numbers, lambda b: F.slice(parts, b * _BLOCK + 1, F.lit(_BLOCK)))
 
     def step(state, piece):
         core = F.btrim(piece, F.lit(" \t\r\n"))
@@ -83,19 +105,22 @@ def statement_groups(
         )
 
     def groups(parts, state):
-        def text_of(start, k):
-            following = F.coalesce(F.get(state.starts, k + 1).i, F.size(parts))
-            return F.struct(
-                F.array_join(F.slice(parts, start.i + 1, following - start.i), "").alias("text"),
-                start.pos.alias("pos"),
-            )
+        def texts(starts):
+            def text_of(start, k):
+                following = F.coalesce(F.get(starts, k + 1).i, F.size(parts))
+                lines = F.slice(parts, start.i + 1, following - start.i)
+                return F.struct(F.array_join(lines, "").alias("text"), start.pos.alias("pos"))
+
+            return F.transform(starts, text_of)
 
         return let(
-            F.transform(state.starts, text_of),
+            let(F.flatten(state.starts), texts),
             lambda g: done(g, state.balanced & (state.depth == 0)),
         )
 
     return let(
         pieces,
-        lambda parts: let(F.aggregate(parts, first, step), lambda state: groups(parts, state)),
+        lambda parts: let(
+            F.aggregate(blocks(parts), first, fold_block), lambda state: groups(parts, state)
+        ),
     )
