@@ -92,6 +92,11 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def is_delete(action: Column) -> Column:
+    """Only the action ``delete`` deletes; every other one, and a missing one, is an upsert."""
+    return action.eqNullSafe("delete")
+
+
 def metadata_json(metadata: Column) -> Column:
     """Metadata as JSON with sorted keys; a missing map is ``{}``."""
     return F.coalesce(

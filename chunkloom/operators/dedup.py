@@ -10,10 +10,13 @@ for the rows that pass.
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chunkloom.functions.text import is_delete
+
 PATH = ["workspace_id", "path"]
 # Versions of one path are split into ranges of this many sequence numbers, so that a path
 # with a large share of the log is spread over many tasks.
 SEQ_BLOCK = 1_000_000
+_FIRST_BLOCK = -(1 << 62)
 
 
 def differs(stored: Column, current: Column) -> Column:
@@ -25,7 +28,7 @@ def changed_files(files: DataFrame, snapshot: DataFrame) -> DataFrame:
     stored = snapshot.select(*PATH, F.col("content_hash").alias("stored_hash"))
     return (
         files.join(stored, PATH, "left")
-        .where((F.col("action") == "delete") | differs(F.col("stored_hash"), F.col("content_hash")))
+        .where(is_delete(F.col("action")) | differs(F.col("stored_hash"), F.col("content_hash")))
         .drop("stored_hash")
     )
 
@@ -55,7 +58,8 @@ def passing_versions(
     ``hot``, staged so that its small size is known, only those paths are cut into blocks and
     the hand-over shrinks to one row for every other path.
     """
-    block = f"seq div {int(seq_block)}"
+    # A row without a number comes before all others of its path.
+    block = f"coalesce(seq div {int(seq_block)}, {_FIRST_BLOCK})"
     if hot is not None:
         log = log.join(hot.select(*PATH, F.lit(True).alias("is_hot")), PATH, "left")
         block = f"CASE WHEN is_hot THEN {block} ELSE 0 END"
@@ -64,18 +68,18 @@ def passing_versions(
     rows = log.select(
         *PATH,
         "seq",
-        F.when(F.col("action") != "delete", F.col("content_hash")).alias("hash"),
+        F.when(~is_delete(F.col("action")), F.col("content_hash")).alias("hash"),
         F.expr(block).alias("block"),
         *carry,
-    ).where("workspace_id IS NOT NULL AND path IS NOT NULL AND block IS NOT NULL")
+    ).where("workspace_id IS NOT NULL AND path IS NOT NULL")
     compared = rows if deletes_reset else rows.where("hash IS NOT NULL")
 
     in_block = Window.partitionBy(*PATH, "block").orderBy("seq")
     within = compared.select(
         "*",
         F.lag("hash").over(in_block).alias("previous"),
-        F.lag("seq").over(in_block).isNull().alias("first"),
-        F.lead("seq").over(in_block).isNull().alias("last"),
+        F.lag(F.lit(1)).over(in_block).isNull().alias("first"),
+        F.lead(F.lit(1)).over(in_block).isNull().alias("last"),
     )
     by_path = Window.partitionBy(*PATH).orderBy("block")
     ends = within.where("last").select(
@@ -126,4 +130,6 @@ def drop_unchanged(
     if "content" not in log.columns:
         carry = tuple(c for c in log.columns if c not in key)
         return passing_versions(log, snapshot, carry=carry, **options).select(*log.columns)
-    return log.join(passing_versions(log, snapshot, **options), key, "left_semi")
+    passing = passing_versions(log, snapshot, **options)
+    same = [log[c] == passing[c] for c in PATH] + [log["seq"].eqNullSafe(passing["seq"])]
+    return log.join(passing, same, "left_semi")

@@ -12,12 +12,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chunkloom.functions.text import let
+from chunkloom.functions.text import is_delete, let
 
 
 def needs_embedding() -> Column:
     return (
-        (F.col("action") != "delete")
+        ~is_delete(F.col("action"))
         & (F.col("content") != "")
         & (F.coalesce(F.size("embedding"), F.lit(0)) <= 0)
     )

@@ -9,7 +9,7 @@ from functools import lru_cache
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chunkloom.functions.text import hash_content, let
+from chunkloom.functions.text import hash_content, is_delete, let
 from chunkloom.operators.go_symbols import go_chunks
 from chunkloom.operators.markdown import markdown_chunks
 from chunkloom.operators.python_symbols import python_chunks
@@ -92,7 +92,7 @@ def fan_out(records: DataFrame) -> DataFrame:
 def symbol_collisions(chunks: DataFrame) -> DataFrame:
     """Keys that occur more than once; keyed tables keep the last of them."""
     return (
-        chunks.where("action <> 'delete'")
+        chunks.where(~is_delete(F.col("action")))
         .groupBy("workspace_id", "path", "symbol")
         .agg(F.count("*").alias("copies"))
         .where("copies > 1")

@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chunkloom.functions.text import metadata_json
+from chunkloom.functions.text import is_delete, metadata_json
 from chunkloom.operators.dedup import PATH
 
 CHUNK_KEY = ["workspace_id", "path", "symbol"]
@@ -24,7 +24,7 @@ CHUNK_KEY = ["workspace_id", "path", "symbol"]
 
 def last_deletes(log: DataFrame) -> DataFrame:
     return (
-        log.where(F.col("action") == "delete")
+        log.where(is_delete(F.col("action")))
         .groupBy(*PATH)
         .agg(F.max("seq").alias("deleted_at"))
     )
@@ -45,7 +45,7 @@ def surviving_keys(
     columns = list(dict.fromkeys([*key, *PATH, *order]))
     newest = Window.partitionBy(*key).orderBy(*[F.desc(c) for c in order])
     latest = (
-        log.where(F.col("action") != "delete")
+        log.where(~is_delete(F.col("action")))
         .select(*columns, F.row_number().over(newest).alias("_n"))
         .where("_n = 1")
         .drop("_n")
@@ -59,7 +59,7 @@ def surviving_keys(
 
 def chosen_rows(log: DataFrame, chosen: DataFrame, key: list[str], order: list[str]) -> DataFrame:
     """The whole rows of the chosen upserts, with the columns ``chosen`` adds."""
-    upserts = log.where(F.col("action") != "delete")
+    upserts = log.where(~is_delete(F.col("action")))
     joined = [*key, *order]
     repeated = [c for c in PATH if c not in key]
     return upserts.join(chosen.drop(*repeated), joined)
@@ -138,7 +138,7 @@ def merge_points(
 
     An upsert without a vector is no point and leaves an existing one alone.
     """
-    relevant = log.where((F.col("action") == "delete") | has_vector(F.col("embedding")))
+    relevant = log.where(is_delete(F.col("action")) | has_vector(F.col("embedding")))
     deleted = stage(last_deletes(relevant), "deletes")
     chosen = stage(surviving_keys(relevant, deleted, ["id"], order), "chosen")
     fresh = chosen_rows(relevant, chosen, ["id"], order).select(
@@ -152,6 +152,6 @@ def merge_points(
 
 def memories(log: DataFrame, source: str) -> DataFrame:
     """Rows for the append-only table; deletes are skipped."""
-    return log.where(F.col("action") != "delete").select(
+    return log.where(~is_delete(F.col("action"))).select(
         "content", memory_metadata(source).alias("metadata")
     )

@@ -1,6 +1,8 @@
 """Applying an endless change log to keyed tables, one merge per micro-batch.
 
-Replaying a micro-batch a second time gives the same tables, so a retried batch is harmless.
+Replaying a micro-batch a second time gives the same tables, so a retried batch is harmless. A run
+is named by the query's id, which lives in the checkpoint, and the batch: another stream, or the same
+one with a new checkpoint, never overwrites what an earlier one appended.
 """
 
 from datetime import UTC, datetime
@@ -20,12 +22,20 @@ def replay_stream(
     """Start writing ``log`` to every sink; ``trigger`` defaults to all available input."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        failed = []
         batch.persist()
         try:
             for sink in sinks:
-                sink.write(batch, f"batch-{batch_id}", now or datetime.now(UTC))
+                try:
+                    sink.write(batch, f"{stream}-{batch_id}", now or datetime.now(UTC))
+                except Exception as error:
+                    failed.append(error)
         finally:
             batch.unpersist()
+        if failed:
+            # every sink had its turn; the batch fails and is retried as a whole
+            raise ExceptionGroup(f"{len(failed)} of {len(sinks)} sinks failed", failed)
 
     return (
         log.writeStream.foreachBatch(write)

@@ -14,7 +14,7 @@ from chunkloom.operators.dedup import (
 from chunkloom.operators.replay import merge_chunks, merge_points
 from chunkloom.plans.views import NOW, shape_events
 from chunkloom.schema import CHUNKS, POINTS, SNAPSHOT
-from chunkloom.sinks.tables import ChunkTable
+from chunkloom.sinks.tables import ChunkTable, MemoryTable
 from chunkloom.streaming.dedup import passing_stream
 from chunkloom.streaming.replay import replay_stream
 
@@ -232,3 +232,39 @@ def test_replay_stream_equals_batch(spark, tmp_path):
     before = content(batch_table)
     batch_table.write(shape_events(events), "run", NOW)
     assert content(batch_table) == before
+
+
+def test_rows_without_action_or_number_are_kept(spark):
+    log = spark.createDataFrame(
+        [("w", "p", None, None, "a"), ("w", "p", 1, None, "a"), ("w", "p", 2, "upsert", "b"), ("w", "q", 1, None, "c")],
+        "workspace_id string, path string, seq long, action string, content_hash string",
+    )
+    hot = spark.createDataFrame([("w", "p")], "workspace_id string, path string")
+    for options in ({}, {"hot": hot, "seq_block": 1}):
+        kept = drop_unchanged(log, **options).collect()
+        assert sorted((r.path, r.seq is not None and r.seq) for r in kept) == [
+            ("p", False), ("p", 2), ("q", 1),
+        ]
+
+
+def test_a_second_stream_appends_memories(spark, tmp_path):
+    row = {
+        "workspace_id": "w", "path": "p", "symbol": "s", "symbol_type": "t", "language": "go",
+        "content": "c", "content_hash": "h", "seq": 1,
+    }
+    rows = spark.createDataFrame([row]).withColumn("action", F.lit(None).cast("string"))
+    rows.write.parquet(str(tmp_path / "log"))
+    source = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "log"))
+
+    class Broken:
+        def write(self, log, run_id, now):
+            raise RuntimeError("no room")
+
+    table = MemoryTable(spark, str(tmp_path / "memories"))
+    for n in range(2):
+        replay_stream(source, [table], str(tmp_path / f"c{n}")).awaitTermination()
+    assert table.read().count() == 2
+    broken = replay_stream(source, [Broken(), table], str(tmp_path / "c2"))
+    with pytest.raises(Exception, match="sinks failed"):
+        broken.awaitTermination()
+    assert table.read().count() == 3
