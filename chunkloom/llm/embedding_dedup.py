@@ -3,11 +3,12 @@
 * Fit. Spherical k-means on at most ``SAMPLE`` vectors (the first by a hash), with about one centre for each
   ``CELL`` vectors and at most ``MAX_CELLS``, so the centres have a fixed size and are broadcast.
 * Assign. A vector lives in the cell of its nearest centre and also visits each cell i whose border with
-  its own cell h is near: a pair at the threshold is ``chord`` apart, and in d dimensions the part of that across
-  one border is about chord / sqrt(d), so the cell is visited if the distance x . (c_h - c_i) / |c_h - c_i| is
-  within ``REACH`` times that. No number of visits is fixed, and every row is assigned.
-* Compare. A cell's rows are cut into blocks of about ``BLOCK`` by hash, and each pair of blocks is one product
-  of double-precision matrices in one task. A task returns counts and a spanning forest of its links, never
+  its own cell h is near: a pair at the threshold is ``chord`` apart, in d dimensions the part of that across
+  one border is about chord / sqrt(d), and one of the two is nearer to the border than half of it. So the cell is
+  visited if the distance x . (c_h - c_i) / |c_h - c_i| is within ``REACH / 2`` times that. No number of visits is
+  fixed, and every row is assigned.
+* Compare. A cell's own rows and its own rows with its visitors are cut into blocks of about ``BLOCK`` by hash, and
+  each pair of blocks is one product of double-precision matrices in one task. A task returns counts and a spanning forest of its links, never
   the pairs. A pair that two cells see is counted in the one with the smaller number.
 * Group. Connected components of the links; the smallest id represents a group.
 
@@ -62,7 +63,7 @@ def _assign(centres, threshold: float, reach: float):
         c = centres.value
         dims = c.shape[1] if len(c) else -1
         gaps = np.linalg.norm(c[:, None] - c[None, :], axis=2) if len(c) <= 512 else None
-        margin = reach * np.sqrt(2 - 2 * threshold) / np.sqrt(max(dims, 1))
+        margin = reach / 2 * np.sqrt(2 - 2 * threshold) / np.sqrt(max(dims, 1))
         for batch in batches:
             sizes = batch.column("dims").to_numpy()
             for d in np.unique(sizes):
@@ -79,8 +80,7 @@ def _assign(centres, threshold: float, reach: float):
                     cells = [np.flatnonzero(v).tolist() for v in visit]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("rep"), part.column("k"), part.column("w"),
-                        pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), int(d)).cast(pa.list_(pa.float64())),
+                        part.column("rep"), part.column("k"), part.column("w"), part.column("vec"),
                         pa.array(home, pa.int32()), pa.array(cells, pa.list_(pa.int32())),
                     ],
                     names=["rep", "k", "w", "vec", "home", "visits"],
@@ -97,7 +97,7 @@ def _compare(threshold: float):
         table = table.combine_chunks()
         rep, k = table.column("rep").to_numpy(), table.column("k").to_numpy()
         w, home = table.column("w").to_numpy(), table.column("home").to_numpy()
-        x = _matrix(table.column("vec").chunk(0))
+        x = _unit(_matrix(table.column("vec").chunk(0)))
         left = np.flatnonzero(table.column("left").to_numpy(zero_copy_only=False))
         right = np.flatnonzero(table.column("right").to_numpy(zero_copy_only=False))
         a, b = np.nonzero(x[left] @ x[right].T >= threshold)
@@ -142,14 +142,18 @@ def vector_duplicates(
     """Per row: ``id``, ``n_links``, ``component_id`` and ``kept``."""
     spark = vectors.sparkSession
     stage = Stage(spark)
-    vec = F.col(vector_col).cast("array<double>")
+    element = vectors.schema[vector_col].dataType.elementType.simpleString()
+    vec = F.col(vector_col)
+    if element != "float":  # single precision travels as it is and is widened for the products
+        element, vec = "double", vec.cast("array<double>")
     rows = vectors.select(F.col(id_col).alias("id"), vec.alias("vec"))
     finite = F.forall("vec", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
-    length = F.aggregate("vec", F.lit(0.0), lambda s, v: s + v * v)
+    length = F.aggregate("vec", F.lit(0.0), lambda s, v: s + v.cast("double") * v.cast("double"))
     good = F.coalesce(finite & (length > 0) & (length < float("inf")) & F.col("id").isNotNull(), F.lit(False))
     named = rows.select(
         "id", "vec", good.alias("good"), F.xxhash64("vec").alias("k"), F.xxhash64(F.lit(1), "vec").alias("k2")
     )
+    kind = dict(rows.dtypes)["id"]
     named = stage.table(named, "vectors")
     usable = named.where("good")
     classes = usable.groupBy("k", "k2").agg(
@@ -168,33 +172,33 @@ def vector_duplicates(
     sent = spark.sparkContext.broadcast(centres)
     placed = classes.mapInArrow(
         _assign(sent, threshold, reach),
-        "rep long, k long, w long, vec array<double>, home int, visits array<int>",
+        f"rep {kind}, k long, w long, vec array<{element}>, home int, visits array<int>",
     )
     placed = stage.table(placed, "placed")
 
     seats = placed.select(
         "*", F.explode(F.concat(F.array("home"), F.col("visits"))).alias("cell")
     )
+    home = F.col("home") == F.col("cell")
     blocks = stage.table(
-        seats.select("cell").groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("m")), "blocks"
-    )
-    seats = seats.join(F.broadcast(blocks), "cell")  # one row a cell: at most MAX_CELLS and one a length
-    other = F.sequence(F.lit(0), F.col("m") - 1)
-    block = F.pmod(F.xxhash64("k"), F.col("m")).cast("int")
-    here = F.col("home") == F.col("cell")
-    roles = F.array_union(
-        F.when(here, F.transform(other, lambda j: F.struct(F.col("block").alias("i"), j.alias("j")))).otherwise(
-            F.array().cast("array<struct<i:int,j:int>>")
+        seats.groupBy("cell").agg(
+            F.ceil(F.count_if(home) / BLOCK).cast("int").alias("rows"),
+            F.ceil(F.count("*") / BLOCK).cast("int").alias("columns"),
         ),
-        F.transform(other, lambda i: F.struct(i.alias("i"), F.col("block").alias("j"))),
+        "blocks",
     )
-    seats = seats.withColumn("block", block).withColumn("pair", F.explode(roles)).select(
+    seats = seats.join(F.broadcast(blocks), "cell")  # one row a cell: at most MAX_CELLS and one a length
+    i, j = (F.pmod(F.xxhash64("k"), F.greatest(c, F.lit(1))).cast("int") for c in ("rows", "columns"))
+    every = lambda c: F.filter(F.sequence(F.lit(0), F.col(c)), lambda x: x < F.col(c))
+    as_left = F.transform(every("columns"), lambda x: F.struct(F.col("a").alias("i"), x.alias("j")))
+    as_right = F.transform(every("rows"), lambda x: F.struct(x.alias("i"), F.col("b").alias("j")))
+    roles = F.when(home, F.array_union(as_left, as_right)).otherwise(as_right)
+    seats = seats.withColumns({"a": i, "b": j}).withColumn("pair", F.explode(roles)).select(
         "cell", "pair.i", "pair.j", "rep", "k", "w", "vec", "home", "visits",
-        (here & (F.col("block") == F.col("pair.i"))).alias("left"),
-        (F.col("block") == F.col("pair.j")).alias("right"),
+        (home & (F.col("a") == F.col("pair.i"))).alias("left"), (F.col("b") == F.col("pair.j")).alias("right"),
     )
     found = seats.groupBy("cell", "i", "j").applyInArrow(
-        _compare(threshold), "rep long, k long, links long, label long"
+        _compare(threshold), f"rep {kind}, k long, links long, label {kind}"
     )
     found = stage.table(found, "found")
     counts = found.groupBy("rep", "k").agg(F.sum("links").alias("links"))
