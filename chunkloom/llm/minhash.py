@@ -13,9 +13,11 @@ sequence; no words: the empty set, linked with nothing). Documents with
 * Verify on whole sets. Equal sets are one class from the start. Shingles that no other candidate
   has bound every similarity from above: with q of n and p of m such shingles, the intersection is at most
   min(n - q, m - p). First every class meets the class of each of its buckets that has the smallest share of them,
-  which is the most central; links found join groups. Then, only in buckets whose classes are still in different
-  groups, the classes outside a bucket's largest group meet those of other groups. No pair inside a
-  joined group is built, however large the group; each other pair is excluded by the bound or verified.
+  which is the most central; links found join groups, and what the two share is kept. Then, only around centres
+  whose classes are still in different groups, the classes outside the largest group meet those of other groups
+  they share a bucket with. Two classes that share i and j shingles with their centre share at most min(i, j) of
+  its shingles and min(n - q - i, m - p - j) others. No pair inside a joined group is built, however
+  large the group; each other pair is excluded by a bound or verified.
 
 Rows without an id link with nothing and are kept. Rows that share an id are one document to the links, with
 all their shingles.
@@ -122,23 +124,30 @@ def _full_sets(k: int):
     return run
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs ``(a, b)`` whose full sets are similar enough."""
+def _measured(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(a, b)`` with the size of their intersection and whether their full sets are similar enough."""
     left = sets.select(F.col("id").alias("a"), F.col("elements").alias("left"))
     right = sets.select(F.col("id").alias("b"), F.col("elements").alias("right"))
-    both = F.size(F.array_intersect("left", "right"))
     all_of = F.size("left") + F.size("right")
+    both = F.col("both")
     return (
         pairs.join(right, "b")
         .join(left, "a")
-        .where(100 * both >= percent * (all_of - both))
-        .select("a", "b")
+        .select("a", "b", F.size(F.array_intersect("left", "right")).alias("both"), all_of.alias("all_of"))
+        .select("a", "b", "both", (100 * both >= percent * (F.col("all_of") - both)).alias("linked"))
     )
 
 
-def _possible(n, q, m, p, percent: int):
-    """Whether sets of n and m shingles, q and p of them found nowhere else, can be similar enough."""
+def _possible(n, q, m, p, percent: int, i=None, j=None):
+    """Whether sets of n and m shingles, q and p of them found nowhere else, can be similar enough.
+
+    Given i and j, what each shares with one third set (null if unknown), they meet in at most the lesser of
+    those inside it, and outside it in the lesser of what is left of each.
+    """
     both = F.least(n - q, m - p)
+    if i is not None:
+        apart = F.least(i, j) + F.least(n - q - i, m - p - j)
+        both = F.when(i.isNotNull() & j.isNotNull(), apart).otherwise(both)  # least() skips nulls
     return 100 * both >= percent * (n + m - both)
 
 
@@ -219,36 +228,51 @@ def near_duplicates(
     possible = _possible(F.col("n"), F.col("q"), F.col("m"), F.col("p"), percent)
     stars = rated.join(pivots, "bucket").where((F.col("x") != F.col("id")) & possible)
     stars = stage.table(stars.select(*pair).distinct(), "stars")
-    links = stage.table(_verified(stars, sets, percent), "verified")
-    stage.drop(stars, pivots)
+    met = stage.table(_measured(stars, sets, percent), "met")
+    links = met.where("linked").select("a", "b")
     labels = stage.table(components(stage, links), "labels")
 
-    # buckets that still hold several groups: classes outside the largest group with the others
+    # centres whose classes are in several groups: those outside the largest group with the others
     node = labels.select(F.col("node").alias("id"), "label")
+    around = (
+        rated.join(pivots.select("bucket", "x"), "bucket")
+        .groupBy("x", "id", "n", "q").agg(F.collect_set("bucket").alias("buckets"))
+        .select("*", *pair)
+    )
+    inside = F.when(F.col("x") == F.col("id"), F.col("n") - F.col("q")).otherwise(F.col("both").cast("long"))
     placed = stage.table(
-        rated.join(node, "id", "left")
-        .select("bucket", "id", "n", "q", F.coalesce("label", "id").alias("label")),
+        around.join(met.select("a", "b", "both"), ["a", "b"], "left")
+        .join(node, "id", "left")
+        .select("x", "id", "n", "q", "buckets", inside.alias("i"), F.coalesce("label", "id").alias("label")),
         "placed",
     )
-    groups = placed.groupBy("bucket", "label").agg(F.count("*").alias("k"))
+    stage.drop(stars, pivots)
+    groups = placed.groupBy("x", "label").agg(F.count("*").alias("k"))
     mixed = stage.table(
-        groups.groupBy("bucket")
+        groups.groupBy("x")
         .agg(F.max(F.struct("k", "label")).alias("most"), F.count("*").alias("groups"))
         .where("groups > 1")
-        .select("bucket", F.col("most.label").alias("main")),
+        .select("x", F.col("most.label").alias("main")),
         "mixed",
     )
-    rest = stage.table(placed.join(mixed, "bucket"), "rest")
+    rest = stage.table(placed.join(mixed, "x"), "rest")
     few = rest.where("label <> main").select(
-        "bucket", F.col("id").alias("x"), F.col("n").alias("m"), F.col("q").alias("p"),
-        F.col("label").alias("other"),
+        "x", F.col("id").alias("c"), F.col("n").alias("m"), F.col("q").alias("p"), F.col("i").alias("j"),
+        F.col("label").alias("other"), F.col("buckets").alias("theirs"),
     )
     able = few.where(_possible(F.col("m"), F.col("p"), F.col("m") - F.col("p"), F.lit(0), percent))
-    crossed = able.join(rest, "bucket").where((F.col("other") != F.col("label")) & possible)
-    crossed = stage.table(crossed.select(*pair).distinct(), "crossed")
-    more = stage.table(links.unionByName(_verified(crossed, sets, percent)), "verified")
+    possible = _possible(
+        F.col("n"), F.col("q"), F.col("m"), F.col("p"), percent, F.col("i"), F.col("j")
+    )
+    crossed = able.join(rest, "x").where(
+        (F.col("other") != F.col("label")) & possible & F.arrays_overlap("buckets", "theirs")
+    )
+    crossed = crossed.select(F.least("c", "id").alias("a"), F.greatest("c", "id").alias("b")).distinct()
+    crossed = stage.table(crossed, "crossed")
+    found = _measured(crossed, sets, percent).where("linked").select("a", "b")
+    more = stage.table(links.unionByName(found), "verified")
     labels = stage.table(components(stage, more), "labels")
-    stage.drop(rated, sets, links, placed, mixed, rest, crossed, more)
+    stage.drop(rated, sets, met, placed, mixed, rest, crossed, more)
 
     owner = classes.select("s1", "s2", F.col("n").alias("size"), "rep")
     component = F.coalesce("label", "rep", "id")
