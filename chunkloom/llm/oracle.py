@@ -1,7 +1,8 @@
 """SQL restatements of the registered queries that SQL can express on whole tables.
 
 None for token counts (a library defines them), the url and toxicity models, the mix (one of many that
-meet the targets) and the suffix array (too slow in SQL byte by byte): tests hold those against plain loops.
+meet the targets), the suffix array and periodic runs (too slow in SQL byte by byte or period by period) and
+fingerprints (not standard hashes): tests hold those against plain loops.
 """
 
 
@@ -24,6 +25,33 @@ _BASE32 = " || ".join(
     for s in (15, 10, 5, 0)
 )
 
+
+def _field(value: str) -> str:
+    return f"coalesce(octet_length(encode(CAST({value} AS VARCHAR))) || ':' || {value}, '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_field(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+_CRC32 = """xor(4294967295, list_reduce(
+  list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: ascii(c)::BIGINT)),
+  lambda s, b: xor(s >> 8, list_reduce(
+    list_prepend(xor(s, b) & 255, [1, 2, 3, 4, 5, 6, 7, 8]::BIGINT[]),
+    lambda x, i: xor(x >> 1, 3988292384 * (x & 1))))))"""
+
+
+def _levels(name: str, leaves: str) -> str:
+    """A recursive CTE: nodes of all levels of trees whose leaves are rows (tree, place, d)."""
+    return f"""
+{name}(tree, lvl, place, d, n) AS (
+  SELECT tree, 0, place, d, count(*) OVER (PARTITION BY tree) FROM {leaves}
+  UNION ALL
+  SELECT tree, lvl + 1, place // 2, sha256(string_agg(d, '' ORDER BY place)), (n + 1) // 2
+  FROM {name} WHERE n > 1 GROUP BY tree, lvl, place // 2, n
+)"""
+
+
 ORACLE: dict[str, str] = {
     "op1_warc": f"""
 WITH p AS (
@@ -130,4 +158,37 @@ SELECT d.id AS doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(
        sha256(coalesce(items, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hit USING (id) LEFT JOIN listed USING (id)""",
+    "op13_merkle": f"""
+WITH RECURSIVE base AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS tree, {_leaf("n_chars")} AS d,
+         CASE WHEN {_CRC32} % 7 = 0 THEN {_leaf("(n_chars + 1)")} ELSE {_leaf("n_chars")} END AS claimed
+  FROM documents
+),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, d) - 1 AS place FROM base
+),{_levels("nodes", "leaves")},
+heights AS (
+  SELECT tree, lvl AS height, d AS subroot, row_number() OVER (ORDER BY tree) - 1 AS place FROM nodes WHERE n = 1
+),
+subroots AS (SELECT '' AS tree, place, subroot AS d FROM heights),{_levels("tops", "subroots")},
+top AS (SELECT lvl AS height, d AS root FROM tops WHERE n = 1),
+every AS (
+  SELECT nodes.tree, lvl, place, d FROM nodes WHERE n > 1
+  UNION ALL
+  SELECT heights.tree, heights.height + lvl, tops.place, d FROM heights, tops
+),
+walk AS (
+  SELECT doc_id, leaves.tree, d AS leaf, leaves.place AS leaf_place, subroot, height, heights.place AS top_place, 0 AS lvl,
+         CASE WHEN height = 0 THEN heights.place ELSE leaves.place END AS place, claimed AS node, '' AS proof
+  FROM leaves JOIN heights ON leaves.tree = heights.tree
+  UNION ALL
+  SELECT doc_id, walk.tree, leaf, leaf_place, subroot, walk.height, top_place, walk.lvl + 1,
+         CASE WHEN walk.lvl + 1 = walk.height THEN top_place ELSE walk.place // 2 END,
+         CASE WHEN walk.place % 2 = 0 THEN sha256(node || coalesce(d, '')) ELSE sha256(d || node) END,
+         proof || coalesce(d, '')
+  FROM walk JOIN top ON walk.lvl < walk.height + top.height
+  LEFT JOIN every ON every.tree = walk.tree AND every.lvl = walk.lvl AND every.place = xor(walk.place, 1)
+)
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, node AS folded_root, node = root AS verified
+FROM walk JOIN top ON walk.lvl = walk.height + top.height""",
 }

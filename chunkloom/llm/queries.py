@@ -4,8 +4,11 @@ from pyspark.sql import functions as F
 
 from chunkloom.llm.decontaminate import contamination
 from chunkloom.llm.embedding_dedup import vector_duplicates
+from chunkloom.llm.fingerprint import edited
+from chunkloom.llm.merkle import manifest, proof_digest
 from chunkloom.llm.minhash import near_duplicates
 from chunkloom.llm.mixing import mix
+from chunkloom.llm.periodic_runs import periodic_runs
 from chunkloom.llm.substring_dedup import substring_dedup
 from chunkloom.llm.suffix_array import suffix_dedup
 from chunkloom.llm.token_counts import token_counts
@@ -105,6 +108,53 @@ def op10_suffix_array(spark, sf_dir):
     )
 
 
+def op11_fingerprints(spark, sf_dir):
+    return edited(_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def with_repetitions(docs):
+    """Every tenth document by hash repeats a stretch of its words from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(r"([^\x20\x09-\x0D]+)"), 1)
+    g, n = F.floor(h / 10), F.size("words")
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - a) / (3 + g % 8))).cast("int")
+    at = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.when(i < a, i).otherwise(a + (i - a) % p))
+    said = F.array_join(F.transform(at, lambda i: F.get("words", i)), " ")
+    chosen = F.when((h % 10 == 0) & F.col("text").isNotNull(), words)
+    split = docs.select("doc_id", "text", chosen.alias("words"))
+    return split.select("doc_id", F.when(F.size("words") > 0, said).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark, sf_dir):
+    out = periodic_runs(with_repetitions(_table(spark, sf_dir, "documents")))
+    longest = F.array_max(
+        F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period")))
+    )
+    line = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    lines = F.when(F.size("runs") > 0, F.concat(F.array_join(line, "\n"), F.lit("\n"))).otherwise("")
+    out = out.select("*", longest.alias("best"))
+    return out.select(
+        F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_merkle(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    changed = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    claimed = [changed if c == "n_chars" else F.col(c) for c in columns]
+    out = manifest(docs, columns, "lang", tampered=claimed)
+    return out.select(
+        F.col("id").alias("doc_id"), "leaf", "subroot", "root", proof_digest(F.col("steps")).alias("proof_sha256"),
+        "folded_root", "verified",
+    )
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_substring_dedup": op2_substring_dedup,
@@ -116,4 +166,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
     "op10_suffix_array": op10_suffix_array,
+    "op11_fingerprints": op11_fingerprints,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_merkle": op13_merkle,
 }
