@@ -10,7 +10,7 @@ from chunkloom.llm.minhash import near_duplicates
 from chunkloom.llm.mixing import mix
 from chunkloom.llm.periodic_runs import periodic_runs
 from chunkloom.llm.substring_dedup import substring_dedup
-from chunkloom.llm.suffix_array import suffix_dedup
+from chunkloom.llm.suffix_array import WORDS, suffix_dedup
 from chunkloom.llm.token_counts import token_counts
 from chunkloom.llm.toxicity import fit, fold, score_of
 from chunkloom.llm.stage import Stage
@@ -101,10 +101,10 @@ def op9_mixing(spark, sf_dir):
 
 
 def op10_suffix_array(spark, sf_dir):
-    out = suffix_dedup(_table(spark, sf_dir, "documents"))
+    out = suffix_dedup(_table(spark, sf_dir, "documents"), passages=WORDS)
     return out.select(
         F.col("id").alias("doc_id"), "n_bytes", "n_removed",
-        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"), "n_repeated_words",
     )
 
 

@@ -1,24 +1,26 @@
 """Repeated strings by a depth-limited radix sort of suffixes, most significant digit first.
 
-Every byte of every text starts a suffix; suffixes are ordered only through their first ``length``
-bytes, never across documents. After the last pass equal groups are exactly the repeated windows, and
-each byte they cover is removed, at every place. A pass sorts by one digit and drops what is alone in
-its group, so later and finer digits see only what may still repeat:
-
-* digit 1: the smallest hashed gram of the suffix's first ``length`` bytes. Neighbouring suffixes share
-  it, so one row stands for a run of some hundred suffixes. A run whose gram occurs once is done.
-* digit 2: the whole stretch that a run's suffixes span, with the place of the gram in it. Runs equal
-  in it repeat as a whole, however many they are, and go on with one representative.
-* digit 3: parts of ``RADIX`` neighbouring suffixes, cut at fixed distances from the gram, for runs that are alone in
-  digit 2 but not in digit 1, and one representative of each class they may equal. A part whose core
-  (the bytes that all its suffixes share) is alone is done; parts equal as a whole repeat as a whole.
-* digit 4: single suffixes through ``length`` bytes, for parts that are alone though their cores are not, and
-  representatives of parts with those cores.
-
-Digits 3 and 4 see only the neighbourhood of places where copies differ. Null and short texts have no windows.
-Rows that repeat id and text are copies of each other. Equality in a digit is equality of 128-bit hashes.
+Every element of every text, a byte or a word (``Unit``), starts a suffix; suffixes are ordered only through their first
+``length`` elements, never across documents. After the last pass equal groups are exactly the repeated windows. A
+pass groups suffixes by a further digit of their prefix and drops what is alone, so later passes see only what may
+still repeat. Neighbouring suffixes share most of their elements, so one row stands for a range of them and its key is the
+prefix of the range's last suffix, as far as every suffix of the range reaches in the depth of the pass:
+
+* Ranges of some hundred suffixes: those whose first ``length`` elements hold the same smallest hashed gram, which
+  is the first digit of the suffix that starts with it. A range whose digit is alone is done. Ranges equal in all
+  that their suffixes span repeat as a whole, however many they are, and go on with one representative.
+* Ranges of ``radix`` neighbours, cut at fixed distances from the gram. ``DIGITS`` passes read one more part of the
+  prefix each and drop the groups of one. Ranges equal as a whole again go on with one representative.
+* Single suffixes through the full length.
+
+The second and third see only the neighbourhood of places where copies differ. By default every element that a repeated
+window covers is found, at all places; with ``keep_first`` the window's first place (by id, text hash and position) is
+left out. Null and short texts have no windows. Rows that repeat id and text are copies of each other. Equality of
+ranges and suffixes is equality of 128-bit hashes.
 """
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 from chunkloom.llm.numeric import (
     BLOCK_BYTES,
     U,
+    Sequence,
     bytes_sequence,
     merge_spans,
     minimizer_runs,
@@ -34,52 +37,90 @@ from chunkloom.llm.numeric import (
     signed,
     spread_ranges,
     text_blocks,
+    word_hashes,
+    words,
 )
 from chunkloom.llm.spans import range_arrays, with_ranges
-from chunkloom.llm.stage import Stage, keyed
+from chunkloom.llm.stage import Stage, keyed, same_row
+
+
+@dataclass(frozen=True)
+class Unit:
+    """What a text is a sequence of, and how far suffixes are ordered."""
+
+    name: str
+    length: int
+    gram: int
+    radix: int
 
-LENGTH = 400
-GRAM = 160
-RADIX = 16
+
+BYTES = Unit("bytes", 400, 160, 16)
+WORDS = Unit("words", 50, 20, 4)
+DIGITS = 3
 _SEGMENT = 4 << 20
 _RUN = "id {}, h long, a long, c1 long, c2 long, lo int, n int, g int"
-_PART = "id {}, h long, core long, w1 long, w2 long, lo int, n int"
+_PART = "id {}, h long, d1 long, d2 long, d3 long, w1 long, w2 long, lo int, n int"
 _SUFFIX = "id {}, h long, w1 long, w2 long, lo int"
 _RESULT = "id {}, n_bytes long, n_removed long, spans array<struct<start:int,end:int>>, kept binary"
 
 
-def _segments(column: pa.Array, length: int, block: int = BLOCK_BYTES):
-    """(first row, bytes, offsets, shift): blocks of texts, and huge texts in overlapping segments."""
+@dataclass
+class _Piece:
+    """Elements of a block of texts, or of a segment of a huge one: where each text starts, ``shift`` before it."""
+
+    first: int  # row of the first text
+    offsets: np.ndarray
+    shift: int
+    limit: int  # suffixes from here on belong to the next segment
+    sequence: object  # of a hash family
+
+    @property
+    def size(self) -> int:
+        return int(self.offsets[-1])
+
+
+def _pieces(column: pa.Array, unit: Unit, block: int = BLOCK_BYTES):
     for first, _, buf, offsets in text_blocks(column, block):
-        if len(buf) <= _SEGMENT:
-            yield first, buf, offsets, 0
-            continue
-        for lo in range(0, len(buf), _SEGMENT):
-            piece = buf[lo : lo + _SEGMENT + 2 * length]
-            yield first, piece, np.array([0, len(piece)]), lo
+        if unit.name == "words":
+            starts, ends, text = words(buf, offsets)
+            marks = np.searchsorted(text, np.arange(len(offsets)))
+
+            def of(family, buf=buf, starts=starts, ends=ends):
+                return Sequence(word_hashes(buf, starts, ends, family), family)
 
+            yield _Piece(first, marks, 0, len(starts), of)
+        elif len(buf) <= _SEGMENT:
+            yield _Piece(first, offsets, 0, len(buf), lambda family, buf=buf: bytes_sequence(buf, family))
+        else:
+            for lo in range(0, len(buf), _SEGMENT):
+                part = buf[lo : lo + _SEGMENT + 2 * unit.length]
+                marks = np.array([0, len(part)])
+                yield _Piece(first, marks, lo, _SEGMENT, lambda family, part=part: bytes_sequence(part, family))
+
+
+def _runs(unit: Unit):
+    length, gram = unit.length, unit.gram
 
-def _runs(length: int, gram: int):
     def run(batches):
         for batch in batches:
-            for first, buf, offsets, shift in _segments(batch.column("text"), length):
-                if len(buf) < length:
+            for piece in _pieces(batch.column("text"), unit):
+                if piece.size < length:
                     continue
-                room = np.diff(offsets) - length + 1
-                valid = np.zeros(len(buf) - length + 1, bool)
-                for start, n in zip(offsets[:-1].tolist(), room.tolist()):
+                offsets = piece.offsets
+                valid = np.zeros(piece.size - length + 1, bool)
+                for start, n in zip(offsets[:-1].tolist(), (np.diff(offsets) - length + 1).tolist(), strict=True):
                     if n > 0:
                         valid[start : start + n] = True
-                valid[_SEGMENT:] = False
-                one = bytes_sequence(buf, 0)
+                valid[piece.limit :] = False
+                one = piece.sequence(0)
                 grams = one.grams(gram)
                 lo, hi, p = minimizer_runs(grams, length - gram + 1, valid)
                 if not len(lo):
                     continue
-                two = bytes_sequence(buf, 1)
+                two = piece.sequence(1)
                 shape = mix(((p - lo) * 1_000_003 + (hi - lo)).astype(U))
                 row = np.searchsorted(offsets, lo, side="right") - 1
-                take = pa.array(first + row)
+                take = pa.array(piece.first + row)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("id").take(take),
@@ -87,7 +128,7 @@ def _runs(length: int, gram: int):
                         signed(mix(grams[p])),
                         signed(one.hashes(lo, hi + length) ^ shape),
                         signed(two.hashes(lo, hi + length)),
-                        pa.array((lo - offsets[row] + shift).astype(np.int32)),
+                        pa.array((lo - offsets[row] + piece.shift).astype(np.int32)),
                         pa.array((hi - lo + 1).astype(np.int32)),
                         pa.array((p - lo).astype(np.int32)),
                     ],
@@ -97,65 +138,71 @@ def _runs(length: int, gram: int):
     return run
 
 
-def _parts(length: int):
-    """Core and whole of every part of the given runs; a run's gram is ``g`` after its first suffix."""
+def _parts(unit: Unit):
+    """Digits of the prefix and the whole of every part of the given runs; a run's gram is ``g`` after its first suffix."""
+    length, radix = unit.length, unit.radix
+    core = length - radix + 1  # what the suffixes of a part share, from the last one on
+    cuts = [core * k // DIGITS for k in range(DIGITS + 1)]
 
     def run(batches):
         for batch in batches:
             runs = list(range_arrays(batch.column("ranges"), "lo", "n", "g"))
-            for row, text, _, shift in _segments(batch.column("text"), length, 1):
+            for piece in _pieces(batch.column("text"), unit, 1):
+                row, shift = piece.first, piece.shift
                 lo, n, g = runs[row]
-                here = (lo >= shift) & (lo < shift + _SEGMENT) & (lo + n + length - 1 <= shift + len(text))
+                here = (lo >= shift) & (lo < shift + piece.limit) & (lo + n + length - 1 <= shift + piece.size)
                 lo, n, g = lo[here] - shift, n[here], g[here]
                 if not len(lo):
                     continue
-                # distances d from a suffix to the gram: g - n + 1 .. g, cut at multiples of RADIX
-                low = (g - n + 1) // RADIX
-                j, owner = spread_ranges(low, g // RADIX - low + 1)
+                # distances d from a suffix to the gram: g - n + 1 .. g, cut at multiples of the radix
+                low = (g - n + 1) // radix
+                j, owner = spread_ranges(low, g // radix - low + 1)
                 p = (lo + g)[owner]
-                far = np.minimum(j * RADIX + RADIX - 1, g[owner])
-                near = np.maximum(j * RADIX, (g - n + 1)[owner])
+                far = np.minimum(j * radix + radix - 1, g[owner])
+                near = np.maximum(j * radix, (g - n + 1)[owner])
                 first, last = p - far, p - near
-                one, two = bytes_sequence(text, 0), bytes_sequence(text, 1)
+                one, two = piece.sequence(0), piece.sequence(1)
                 place = mix((j * 1_000_003 + far - near).astype(U))
-                core = one.hashes(p - j * RADIX, p - j * RADIX - RADIX + 1 + length)
+                at = p - j * radix
+                digits = [one.hashes(at + a, at + b) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+                digits[0] = digits[0] ^ mix(j.astype(U))
                 take = pa.array(np.full(len(first), row))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("id").take(take),
                         batch.column("h").take(take),
-                        signed(core ^ mix(j.astype(U))),
+                        *[signed(d) for d in digits],
                         signed(one.hashes(first, last + length) ^ place),
                         signed(two.hashes(first, last + length)),
                         pa.array((first + shift).astype(np.int32)),
                         pa.array((far - near + 1).astype(np.int32)),
                     ],
-                    names=["id", "h", "core", "w1", "w2", "lo", "n"],
+                    names=["id", "h", "d1", "d2", "d3", "w1", "w2", "lo", "n"],
                 )
 
     return run
 
 
-def _suffixes(length: int):
-    """Hash through ``length`` bytes of every suffix in the given ranges of a text."""
+def _suffixes(unit: Unit):
+    """Hash through the full length of every suffix in the given ranges of a text."""
 
     def run(batches):
         for batch in batches:
             ranges = list(range_arrays(batch.column("ranges")))
-            for row, text, _, shift in _segments(batch.column("text"), length, 1):
-                at, _ = spread_ranges(*ranges[row])
-                at = np.unique(at) - shift
-                at = at[(at >= 0) & (at < min(_SEGMENT, len(text) - length + 1))]
+            for piece in _pieces(batch.column("text"), unit, 1):
+                at, _ = spread_ranges(*ranges[piece.first])
+                at = np.unique(at) - piece.shift
+                at = at[(at >= 0) & (at < min(piece.limit, piece.size - unit.length + 1))]
                 if not len(at):
                     continue
-                take = pa.array(np.full(len(at), row))
+                take = pa.array(np.full(len(at), piece.first))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("id").take(take),
                         batch.column("h").take(take),
-                        signed(bytes_sequence(text, 0).hashes(at, at + length)),
-                        signed(bytes_sequence(text, 1).hashes(at, at + length)),
-                        pa.array((at + shift).astype(np.int32)),
+                        signed(piece.sequence(0).hashes(at, at + unit.length)),
+                        signed(piece.sequence(1).hashes(at, at + unit.length)),
+                        pa.array((at + piece.shift).astype(np.int32)),
                     ],
                     names=["id", "h", "w1", "w2", "lo"],
                 )
@@ -163,6 +210,89 @@ def _suffixes(length: int):
     return run
 
 
+def _not_alone(stage: Stage, rows: DataFrame, digits: list[str]) -> DataFrame:
+    """A pass: rows whose prefix through the last of ``digits`` some other row shares."""
+    shared = rows.groupBy(*digits).agg(F.count("*").alias("k")).where("k > 1").select(*digits)
+    return stage.table(rows.join(stage.table(shared, "shared"), digits, "left_semi"), "pass")
+
+
+def _settled(
+    stage: Stage, rows: DataFrame, prefix: list[str], whole: list[str], keep: list[str], keep_first: bool
+) -> tuple[DataFrame, DataFrame]:
+    """``(repeated, open)``: ranges that repeat as a whole, and representatives of those that may repeat in part.
+
+    Ranges alike in ``prefix`` and ``whole`` are one class. Their suffixes repeat if they are several. Its first range
+    stays open while another class has its prefix; unless it repeats anyhow, and so do all others.
+    """
+    key = [*prefix, *whole]
+    place = F.struct("id", "h", "lo")
+    classes = rows.groupBy(*key).agg(
+        F.count("*").alias("k"), F.min(place).alias("first"), F.min_by(F.struct(*keep), place).alias("r")
+    )
+    classes = stage.table(classes, "classes")
+    several = classes.groupBy(*prefix).agg(F.count("*").alias("all"), F.min("k").alias("least"))
+    several = several.where("all > 1" if keep_first else "all > 1 AND least = 1").select(*prefix)
+    several = stage.table(several, "several")
+    open_ = stage.table(classes.join(several, prefix, "left_semi").select("r.*"), "open")
+    repeated = classes.where("k > 1").select(*key, "first")
+    if keep_first:
+        repeated = rows.join(repeated, key).where(~place.eqNullSafe(F.col("first")))
+    else:
+        repeated = rows.join(repeated.select(*key), key, "left_semi")
+    return repeated.select("id", "h", "lo", "n"), open_
+
+
+def repeated_ranges(
+    stage: Stage, rows: DataFrame, unit: Unit = BYTES, keep_first: bool = False
+) -> DataFrame:
+    """Ranges of elements (``id``, ``h``, ``lo``, ``n``) covered by repeated windows; they may overlap."""
+    kind = dict(rows.dtypes)["id"]
+    narrow = rows.select("id", "h", "text")
+    covered = (F.col("n") + (unit.length - 1)).alias("n")
+
+    runs = stage.table(narrow.mapInArrow(_runs(unit), _RUN.format(kind)), "runs")
+    met = _not_alone(stage, runs, ["a"])
+    stage.drop(runs)
+    whole_runs, open_runs = _settled(stage, met, ["a"], ["c1", "c2"], ["id", "h", "lo", "n", "g"], keep_first)
+
+    parts = with_ranges(narrow, open_runs, "inner").mapInArrow(_parts(unit), _PART.format(kind))
+    parts = stage.table(parts, "parts")
+    digits = [f"d{k + 1}" for k in range(DIGITS)]
+    for k in range(DIGITS):
+        before, parts = parts, _not_alone(stage, parts, digits[: k + 1])
+        stage.drop(before)
+    whole_parts, open_parts = _settled(stage, parts, digits, ["w1", "w2"], ["id", "h", "lo", "n"], keep_first)
+
+    suffixes = with_ranges(narrow, open_parts, "inner").mapInArrow(_suffixes(unit), _SUFFIX.format(kind))
+    suffixes = stage.table(suffixes, "suffixes")
+    key, place = ["w1", "w2"], F.struct("id", "h", "lo")
+    equal = suffixes.groupBy(*key).agg(F.count("*").alias("k"), F.min(place).alias("first"))
+    equal = stage.table(equal.where("k > 1").select(*key, "first"), "equal")
+    single = suffixes.join(equal, key)
+    if keep_first:
+        single = single.where(~place.eqNullSafe(F.col("first")))
+    out = stage.table(
+        whole_runs.select("id", "h", "lo", covered)
+        .unionByName(whole_parts.select("id", "h", "lo", covered))
+        .unionByName(single.select("id", "h", "lo", F.lit(unit.length).alias("n"))),
+        "ranges",
+    )
+    stage.drop(met, open_runs, parts, open_parts, suffixes, equal)
+    return out
+
+
+def repeated_words(stage: Stage, rows: DataFrame, unit: Unit = WORDS) -> DataFrame:
+    """Per row with repeated words: ``id``, ``h``, ``n`` (words in windows that also start elsewhere)."""
+
+    def count(column: pa.Array) -> pa.Array:
+        spans = (merge_spans(lo, lo + n) for lo, n in range_arrays(column))
+        return pa.array([int((end - start).sum()) for start, end in spans], pa.int64())
+
+    found = repeated_ranges(stage, rows, unit)
+    listed = found.groupBy("id", "h").agg(F.collect_list(F.struct("lo", "n")).alias("ranges"))
+    return listed.select("id", "h", F.arrow_udf(count, "long")(F.col("ranges")).alias("n"))
+
+
 def _cut(batches):
     """Ranges are [lo, lo + n) in bytes."""
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
@@ -180,6 +310,7 @@ def _cut(batches):
                 edges = [0, *np.column_stack((start, end)).ravel().tolist(), len(data)]
                 data = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
             kept.append(data)
+        more = [c for c in batch.schema.names if c == "n_repeated_words"]
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("id"),
@@ -187,127 +318,71 @@ def _cut(batches):
                 pa.array(removed, pa.int64()),
                 pa.array(spans, kind),
                 pa.array(kept, pa.binary()),
+                *[batch.column(c) for c in more],
             ],
-            names=["id", "n_bytes", "n_removed", "spans", "kept"],
+            names=["id", "n_bytes", "n_removed", "spans", "kept", *more],
         )
 
 
-def repeated_ranges(
-    stage: Stage, rows: DataFrame, length: int = LENGTH, gram: int = GRAM
-) -> DataFrame:
-    """Ranges of bytes (``id``, ``h``, ``lo``, ``n``) covered by repeated windows; they may overlap."""
-    kind = dict(rows.dtypes)["id"]
-    narrow = rows.select("id", "h", "text")
-    whole = (F.col("n") + (length - 1)).alias("n")
-
-    # digit 1
-    runs = stage.table(narrow.mapInArrow(_runs(length, gram), _RUN.format(kind)), "runs")
-    shared = stage.table(
-        runs.groupBy("a").agg(F.count("*").alias("k")).where("k > 1").select("a"), "grams"
-    )
-    met = stage.table(runs.join(shared, "a", "left_semi"), "met")
-    stage.drop(runs, shared)
-
-    # digit 2
-    key = ["a", "c1", "c2"]
-    classes = stage.table(
-        met.groupBy(*key).agg(F.count("*").alias("k"), F.min(F.struct("id", "h", "lo", "n", "g")).alias("r")),
-        "classes",
-    )
-    repeats = met.join(classes.where("k > 1").select(*key), key, "left_semi").select(
-        "id", "h", "lo", whole
-    )
-    mixed = stage.table(
-        classes.groupBy("a")
-        .agg(F.count("*").alias("all"), F.min("k").alias("least"))
-        .where("all > 1 AND least = 1")
-        .select("a"),
-        "mixed",
-    )
-    open_runs = stage.table(
-        classes.join(mixed, "a", "left_semi").select("r.*"), "open"
-    )
-
-    # digit 3
-    parts = stage.table(
-        with_ranges(narrow, open_runs, "inner").mapInArrow(_parts(length), _PART.format(kind)), "parts"
-    )
-    digit = ["w1", "w2"]
-    wholes = stage.table(
-        parts.groupBy("core", *digit).agg(
-            F.count("*").alias("k"), F.min(F.struct("id", "h", "lo", "n")).alias("r")
-        ),
-        "wholes",
-    )
-    equal_parts = parts.join(wholes.where("k > 1").select("core", *digit), ["core", *digit], "left_semi")
-    cores = stage.table(
-        wholes.groupBy("core")
-        .agg(F.count("*").alias("all"), F.min("k").alias("least"))
-        .where("all > 1 AND least = 1")
-        .select("core"),
-        "cores",
-    )
-    open_parts = stage.table(wholes.join(cores, "core", "left_semi").select("r.*"), "open")
-
-    # digit 4
-    suffixes = stage.table(
-        with_ranges(narrow, open_parts, "inner").mapInArrow(_suffixes(length), _SUFFIX.format(kind)),
-        "suffixes",
-    )
-    equal = stage.table(
-        suffixes.groupBy(*digit).agg(F.count("*").alias("k")).where("k > 1").select(*digit), "equal"
-    )
-    single = suffixes.join(equal, digit, "left_semi").select(
-        "id", "h", "lo", F.lit(length).alias("n")
-    )
-    out = repeats.unionByName(equal_parts.select("id", "h", "lo", whole)).unionByName(single)
-    out = stage.table(out, "ranges")
-    stage.drop(met, classes, mixed, open_runs, parts, wholes, cores, open_parts, suffixes, equal)
-    return out
-
-
 def suffix_dedup(
     docs: DataFrame,
-    length: int = LENGTH,
+    unit: Unit = BYTES,
     id_col: str = "doc_id",
     text_col: str = "text",
+    passages: Unit | None = None,
 ) -> DataFrame:
-    """Per row: ``id``, ``n_bytes``, ``n_removed``, ``spans`` (maximal removed runs) and ``kept`` bytes."""
+    """Per row: ``id``, ``n_bytes``, ``n_removed``, ``spans`` (maximal removed runs) and ``kept`` bytes.
+
+    ``unit`` must be of bytes. With ``passages``, a unit of words, ``n_repeated_words`` counts the words inside windows
+    of that unit that also start elsewhere; nothing is removed for them.
+    """
+    if unit.name != "bytes" or passages and passages.name != "words":
+        raise ValueError("texts are cut by bytes, and passages are of words")
     stage = Stage(docs.sparkSession)
     rows = keyed(docs, id_col, text_col)
-    found = repeated_ranges(stage, rows, length)
+    found = repeated_ranges(stage, rows, unit)
     listed = with_ranges(rows, found, "left")
-    return listed.mapInArrow(_cut, _RESULT.format(dict(rows.dtypes)["id"]))
+    result = _RESULT.format(dict(rows.dtypes)["id"])
+    if not passages:
+        return listed.mapInArrow(_cut, result)
+    counts = stage.table(repeated_words(stage, rows, passages), "passages")
+    listed = listed.join(counts, same_row(listed, counts), "left").select(
+        listed["id"], listed["text"], listed["ranges"], F.coalesce("n", F.lit(0)).alias("n_repeated_words")
+    )
+    return listed.mapInArrow(_cut, result + ", n_repeated_words long")
 
 
 def _trimmed(text: pa.Array, ranges: pa.Array) -> pa.Array:
+    """Texts without the words of the ranges; each takes the separators before it along."""
     kept = []
     for value, (lo, n) in zip(text, range_arrays(ranges), strict=True):
         data = value.as_py().encode()
+        if not len(lo):
+            kept.append(data.decode())
+            continue
+        buf = np.frombuffer(data, np.uint8)
+        _, ends, _ = words(buf, np.array([0, len(buf)]))
         start, end = merge_spans(lo, lo + n)
-        out, at = [], 0
-        for a, b in zip(start.tolist(), end.tolist()):
-            while a < b and data[a] & 0xC0 == 0x80:
-                a += 1
-            while b > a and b < len(data) and data[b] & 0xC0 == 0x80:
-                b -= 1
-            out.append(data[at:a])
-            at = b
-        kept.append(b"".join([*out, data[at:]]).decode())
+        after = np.concatenate(([0], ends))  # where the separators before a word begin
+        edges = [0, *np.column_stack((after[start], after[end])).ravel().tolist(), len(data)]
+        kept.append(b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2])).decode())
     return pa.array(kept, pa.string())
 
 
 def trim_repeats(
-    docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text",
-    count_col: str = "n_chars",
-) -> DataFrame:
-    """The rows with repeated strings cut out of their texts, in whole characters; all columns stay.
+    docs: DataFrame, unit: Unit = WORDS, id_col: str = "doc_id", text_col: str = "text", count_col: str = "n_chars"
+) -> DataFrame:
+    """The rows with repeated passages cut out of their texts, but for a passage's first place; all columns stay.
 
-    A cut that would begin or end inside a character leaves that character. ``count_col``, if there, is counted anew.
+    ``unit`` must be of words: every word goes that a window covers whose words also start in an earlier place, by
+    id, then text hash, then position; null ids come first. ``count_col``, if there, is counted anew; a null text
+    and a text without cuts stay as they are. Rows that repeat id and text are one document and trimmed alike.
     """
+    if unit.name != "words":
+        raise ValueError("texts are trimmed by words")
     stage = Stage(docs.sparkSession)
     rows = keyed(docs, id_col, text_col, keep_row=True)
-    found = repeated_ranges(stage, rows.select("id", "h", "text"), length)
+    found = repeated_ranges(stage, rows.select("id", "h", "text"), unit, keep_first=True)
     listed = with_ranges(rows, found, "left")
     new = F.when(F.col("ranges").isNull(), F.col(f"row.`{text_col}`").cast("string")).otherwise(
         F.arrow_udf(_trimmed, "string")(F.col("text"), F.coalesce("ranges", F.array().cast("array<struct<lo:int,n:int>>")))

@@ -79,6 +79,30 @@ def repeated_words(docs, length):
     return out
 
 
+def words_elsewhere(docs, length):
+    """Number of words of every document in windows that also start elsewhere."""
+    texts = [(i, words((text or "").encode())) for i, text in docs]
+    seen = Counter(tuple(w[p : p + length]) for _, w in texts for p in range(len(w) - length + 1))
+    out = {}
+    for i, w in texts:
+        found = [p for p in range(len(w) - length + 1) if seen[tuple(w[p : p + length])] > 1]
+        out[i] = len({x for p in found for x in range(p, p + length)})
+    return out
+
+
+def trimmed(docs, length):
+    """Kept words of every document: none of a window that started before, by id and position."""
+    texts = sorted((i, words((text or "").encode())) for i, text in docs)
+    first, out = {}, {}
+    for i, w in texts:
+        gone = set()
+        for p in range(len(w) - length + 1):
+            if first.setdefault(tuple(w[p : p + length]), (i, p)) != (i, p):
+                gone.update(range(p, p + length))
+        out[i] = [x for p, x in enumerate(w) if p not in gone]
+    return out
+
+
 def targets(sizes, weights, total, most):
     """Targets of sources in order: the excess above the limit goes to the others by weight, again and again."""
     weigh = {s: weights[i % len(weights)] for i, s in enumerate(sizes)}

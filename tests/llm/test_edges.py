@@ -89,6 +89,27 @@ def test_suffix_array(docs, rows):
     assert {r.id: (r.n_bytes, r.n_removed, r.s, r.k) for r in out if r.id is not None} == wanted
     cut = trim_repeats(docs)
     assert cut.columns == docs.columns and cut.count() == len(rows)
+    wanted = brute.trimmed(plain(rows), 50)
+    for r in cut.collect():
+        if r.doc_id is not None:
+            assert brute.words((r.text or "").encode()) == wanted[r.doc_id]
+            assert (r.text is None) == (texts()[r.doc_id] is None)
+
+
+def test_suffixes_of_a_text_in_segments(spark):
+    """A passage across the cut of a text of several segments, once more in it, and in another text."""
+    rng = random.Random(8)
+    noise = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=9_000_000))
+    shared = noise[: 4 << 20][-700:] + noise[4 << 20 :][:900]
+    at = (4 << 20) - 700
+    long = noise[:8_600_000] + shared + noise[8_600_000:]
+    table = spark.createDataFrame([(1, long), (2, "x" + shared + "é"), (3, None)], "doc_id long, text string")
+    found = {r.id: r for r in suffix_dedup(table).collect()}
+    n = len(shared)
+    assert [tuple(s) for s in found[1].spans] == [(at, at + n), (8_600_000, 8_600_000 + n)]
+    assert [tuple(s) for s in found[2].spans] == [(1, 1 + n)] and found[2].n_bytes == n + 3
+    assert bytes(found[1].kept) == (long[:at] + long[at + n : 8_600_000] + long[8_600_000 + n :]).encode()
+    assert found[3].n_bytes == 0
 
 
 def test_contamination(spark, docs, rows):

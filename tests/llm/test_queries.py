@@ -94,8 +94,9 @@ def test_mixing_meets_targets(spark):
 
 
 def test_suffix_array(spark, docs):
-    found = QUERIES["op10_suffix_array"](spark, SF).collect()
-    found = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found}
+    rows = QUERIES["op10_suffix_array"](spark, SF).collect()
+    assert {r.doc_id: r.n_repeated_words for r in rows} == brute.words_elsewhere(docs, 50)
+    found = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows}
     assert found == brute.repeated_bytes(docs, 400)
 
 
@@ -116,12 +117,14 @@ def test_pipeline_stages(spark):
             found = brute.near(list(was.items()), 5, 80)
             assert set(kept) == {i for i, (_, group) in found.items() if group == i}
         elif name == "repeats":
-            cut = brute.repeated_bytes(list(was.items()), 400)
-            for i, (_, removed, _, _) in cut.items():
-                if not removed:
-                    assert kept[i] == was[i]
-                else:
-                    assert len((kept.get(i) or "").encode()) <= len(was[i].encode()) - removed
+            wanted = brute.trimmed(list(was.items()), 50)
+            assert set(kept) == set(was)
+            for i, text in kept.items():
+                assert brute.words(text.encode()) == wanted[i]
+                if len(wanted[i]) == len(brute.words(was[i].encode())):
+                    assert text == was[i]
+            assert any(kept[i] != was[i] for i in was)
+            assert all(r.n_chars == len(r.text) for r in now)
         else:
             assert all(kept[i] == was[i] for i in kept)
         before = spark.createDataFrame([r[: len(columns)] for r in now], before.schema)
