@@ -27,7 +27,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Strings of 400 bytes that start at two places go from every text."""
+    """Passages of 50 words and more go from every text but the first that has them."""
     return trim_repeats(docs)
 
 
