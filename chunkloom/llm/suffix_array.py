@@ -55,7 +55,7 @@ class Unit:
 
 
 BYTES = Unit("bytes", 400, 160, 16)
-WORDS = Unit("words", 50, 20, 4)
+WORDS = Unit("words", 50, 13, 4)
 DIGITS = 3
 _SEGMENT = 4 << 20
 _RUN = "id {}, h long, a long, c1 long, c2 long, lo int, n int, g int"
@@ -210,10 +210,15 @@ def _suffixes(unit: Unit):
     return run
 
 
-def _not_alone(stage: Stage, rows: DataFrame, digits: list[str]) -> DataFrame:
-    """A pass: rows whose prefix through the last of ``digits`` some other row shares."""
-    shared = rows.groupBy(*digits).agg(F.count("*").alias("k")).where("k > 1").select(*digits)
-    return stage.table(rows.join(stage.table(shared, "shared"), digits, "left_semi"), "pass")
+def _not_alone(stage: Stage, rows: DataFrame, digits: list[str], whole: list[str]) -> DataFrame:
+    """A pass: rows whose prefix through the last of ``digits`` some other row shares.
+
+    ``alike`` tells if all of them are equal in ``whole`` as well.
+    """
+    alike = [F.min(c) == F.max(c) for c in whole]
+    shared = rows.groupBy(*digits).agg(F.count("*").alias("k"), (alike[0] & alike[1]).alias("alike")).where("k > 1")
+    shared = stage.table(shared.select(*digits, "alike"), "shared")
+    return stage.table(rows.drop("alike").join(shared, digits), "pass")
 
 
 def _settled(
@@ -226,7 +231,8 @@ def _settled(
     """
     key = [*prefix, *whole]
     place = F.struct("id", "h", "lo")
-    classes = rows.groupBy(*key).agg(
+    judged = rows if keep_first else rows.where("NOT alike")
+    classes = judged.groupBy(*key).agg(
         F.count("*").alias("k"), F.min(place).alias("first"), F.min_by(F.struct(*keep), place).alias("r")
     )
     classes = stage.table(classes, "classes")
@@ -234,11 +240,12 @@ def _settled(
     several = several.where("all > 1" if keep_first else "all > 1 AND least = 1").select(*prefix)
     several = stage.table(several, "several")
     open_ = stage.table(classes.join(several, prefix, "left_semi").select("r.*"), "open")
-    repeated = classes.where("k > 1").select(*key, "first")
+    copied = classes.where("k > 1").select(*key, "first")
     if keep_first:
-        repeated = rows.join(repeated, key).where(~place.eqNullSafe(F.col("first")))
+        repeated = rows.join(copied, key).where(~place.eqNullSafe(F.col("first")))
     else:
-        repeated = rows.join(repeated.select(*key), key, "left_semi")
+        copied = judged.join(copied.select(*key), key, "left_semi")
+        repeated = rows.where("alike").unionByName(copied)
     return repeated.select("id", "h", "lo", "n"), open_
 
 
@@ -251,7 +258,7 @@ def repeated_ranges(
     covered = (F.col("n") + (unit.length - 1)).alias("n")
 
     runs = stage.table(narrow.mapInArrow(_runs(unit), _RUN.format(kind)), "runs")
-    met = _not_alone(stage, runs, ["a"])
+    met = _not_alone(stage, runs, ["a"], ["c1", "c2"])
     stage.drop(runs)
     whole_runs, open_runs = _settled(stage, met, ["a"], ["c1", "c2"], ["id", "h", "lo", "n", "g"], keep_first)
 
@@ -259,7 +266,7 @@ def repeated_ranges(
     parts = stage.table(parts, "parts")
     digits = [f"d{k + 1}" for k in range(DIGITS)]
     for k in range(DIGITS):
-        before, parts = parts, _not_alone(stage, parts, digits[: k + 1])
+        before, parts = parts, _not_alone(stage, parts, digits[: k + 1], ["w1", "w2"])
         stage.drop(before)
     whole_parts, open_parts = _settled(stage, parts, digits, ["w1", "w2"], ["id", "h", "lo", "n"], keep_first)
 
