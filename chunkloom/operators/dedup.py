@@ -7,6 +7,8 @@ before the first.  Both work on narrow key-and-hash rows; file texts are fetched
 for the rows that pass.
 """
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +19,15 @@ PATH = ["workspace_id", "path"]
 # with a large share of the log is spread over many tasks.
 SEQ_BLOCK = 1_000_000
 _FIRST_BLOCK = -(1 << 62)
+_MOST_BLOCKS = 10_000
+
+
+def null_safe(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
+    """A join on columns of one name in which nulls meet nulls; those of ``right`` are left out."""
+    there = right.withColumnsRenamed({c: f"_on_{c}" for c in on})
+    same = [F.col(c).eqNullSafe(F.col(f"_on_{c}")) for c in on]
+    joined = left.join(there, same, how)
+    return joined if how in ("left_semi", "left_anti") else joined.drop(*[f"_on_{c}" for c in on])
 
 
 def differs(stored: Column, current: Column) -> Column:
@@ -34,8 +45,37 @@ def changed_files(files: DataFrame, snapshot: DataFrame) -> DataFrame:
 
 
 def hot_paths(log: DataFrame, seq_block: int = SEQ_BLOCK) -> DataFrame:
-    """Paths with more versions than one block should hold; at most rows / block of them."""
-    return log.groupBy(*PATH).count().where(F.col("count") > seq_block).select(*PATH)
+    """Paths with more versions than one block should hold, and their ``count``; at most rows / block of them."""
+    return log.groupBy(*PATH).count().where(F.col("count") > seq_block).select(*PATH, "count")
+
+
+def hot_cuts(log: DataFrame, hot: DataFrame, seq_block: int = SEQ_BLOCK) -> DataFrame:
+    """``hot`` with ``cuts``: the numbers that part a path's versions into blocks of about ``seq_block`` rows.
+
+    The cuts are quantiles, so numbers may be as sparse or uneven as clocks make them. Each map task sends one sketch per
+    hot path. The cuts of a path are grouped, to find a number's block in two short searches.
+    """
+    most = hot.agg(F.max("count")).first()[0]
+    blocks = min(math.ceil((most or 1) / seq_block), _MOST_BLOCKS)
+    if blocks < 2:
+        return hot.select(*PATH, F.array().cast("array<array<bigint>>").alias("cuts"))
+    shares = [i / blocks for i in range(1, blocks)]
+    narrow = null_safe(log.where("seq IS NOT NULL").select(*PATH, "seq"), hot.select(*PATH), PATH, "left_semi")
+    cut = F.percentile_approx("seq", shares, 10 * blocks)
+    each = narrow.groupBy(*PATH).agg(F.array_sort(F.array_distinct(cut)).alias("all"))
+    wide = math.isqrt(blocks) + 1
+    groups = F.transform(
+        F.sequence(F.lit(1), F.size("all"), F.lit(wide)), lambda i: F.slice("all", i, F.lit(wide))
+    )
+    return each.select(*PATH, groups.alias("cuts"))
+
+
+def _block_of(seq: Column, cuts: Column) -> Column:
+    """How many cuts are below a number; its place in the order of blocks."""
+    before = F.size(F.filter(cuts, lambda group: F.element_at(group, -1) < seq))
+    inside = F.coalesce(F.size(F.filter(F.get(cuts, before), lambda c: c < seq)), F.lit(0))
+    width = F.coalesce(F.size(F.get(cuts, F.lit(0))), F.lit(0))
+    return (before * width + F.greatest(inside, F.lit(0))).cast("long")
 
 
 def passing_versions(
@@ -56,20 +96,26 @@ def passing_versions(
     Each (path, block) is compared by itself.  Only the last hash of a block is handed to the
     next one, and that hand-over is computed from one narrow row per path and block.  With
     ``hot``, staged so that its small size is known, only those paths are cut into blocks and
-    the hand-over shrinks to one row for every other path.
+    the hand-over shrinks to one row for every other path; ``hot_cuts`` gives it cuts, without
+    which blocks have a fixed width.  Rows without workspace or path are not compared and do not pass.
     """
     # A row without a number comes before all others of its path.
-    block = f"coalesce(seq div {int(seq_block)}, {_FIRST_BLOCK})"
+    block = F.expr(f"seq div {int(seq_block)}")
+    if hot is not None:
+        has_cuts = "cuts" in hot.columns
+        block = _block_of(F.col("seq"), F.col("cuts")) if has_cuts else block
+        hot = hot.select(*PATH, F.lit(True).alias("is_hot"), *(["cuts"] if has_cuts else []))
+        log = log.join(hot, PATH, "left")
+    block = F.coalesce(F.when(F.col("seq").isNotNull(), block), F.lit(_FIRST_BLOCK))
     if hot is not None:
-        log = log.join(hot.select(*PATH, F.lit(True).alias("is_hot")), PATH, "left")
-        block = f"CASE WHEN is_hot THEN {block} ELSE 0 END"
+        block = F.when(F.col("is_hot"), block).otherwise(0)
     # A delete has no hash.  Both uses of `rows` need the same columns and the same non-null
     # keys, which the join below would ask of one of them only, so they share one shuffle.
     rows = log.select(
         *PATH,
         "seq",
         F.when(~is_delete(F.col("action")), F.col("content_hash")).alias("hash"),
-        F.expr(block).alias("block"),
+        block.alias("block"),
         *carry,
     ).where("workspace_id IS NOT NULL AND path IS NOT NULL")
     compared = rows if deletes_reset else rows.where("hash IS NOT NULL")

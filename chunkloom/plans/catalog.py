@@ -1,5 +1,6 @@
 """The registered queries: one per operator, each over whole given tables."""
 
+import math
 import os
 
 import pandas as pd
@@ -24,6 +25,7 @@ from chunkloom.operators.python_symbols import python_chunks
 from chunkloom.plans import views
 from chunkloom.sinks.scratch import Scratch, new_dir
 from chunkloom.sinks.tables import ChunkTable, MemoryTable, PointTable
+from chunkloom.sinks.versions import TableSet, Writer
 from chunkloom.sources.files import local_source
 from chunkloom.sources.tables import TableSource
 from chunkloom.streaming.dedup import passing_stream
@@ -31,6 +33,7 @@ from chunkloom.streaming.replay import replay_stream
 
 DIM = 64
 BLOCK = 2_500  # sequence numbers per block: several blocks even on the small tables
+HOT_BLOCK = 100  # rows per block of a hot path
 TOO_LONG = 300
 LANGUAGE_SAMPLES = [
     ".go", ".py", ".md", ".MDX", ".ts", ".tsx", ".js", ".jsx", ".rs", ".java", ".cpp", ".cc",
@@ -153,6 +156,16 @@ def dedup_sequence(spark, sf_dir):
     return dedup.drop_unchanged(log, seq_block=BLOCK).select("path", "seq", "content_hash")
 
 
+def dedup_sequence_hot(spark, sf_dir):
+    """Half of the log is one path, and numbers are a clock's: cut by quantiles."""
+    log = views.clocked_log(spark, sf_dir)
+    narrow = log.select("workspace_id", "path", "seq", "action", "content_hash")
+    scratch = Scratch(spark)
+    hot = scratch.staged(dedup.hot_paths(narrow, HOT_BLOCK), "hot")
+    cuts = scratch.staged(dedup.hot_cuts(narrow, hot, HOT_BLOCK), "cuts")
+    return dedup.drop_unchanged(narrow, hot=cuts, seq_block=HOT_BLOCK).select("path", "seq", "content_hash")
+
+
 def dedup_with_deletes(spark, sf_dir):
     return dedup.drop_unchanged(
         views.change_log(spark, sf_dir), views.event_snapshot(spark, sf_dir), seq_block=BLOCK
@@ -274,10 +287,11 @@ def _chunk_columns(df: DataFrame) -> DataFrame:
 
 
 def _merged_chunks(spark, sf_dir, log):
-    now = F.lit(views.NOW).cast("timestamp")
-    base = views.stored_chunks(spark, sf_dir)
-    fresh, kept = replay.merge_chunks(base, log, now, ["seq"])
-    return _chunk_columns(fresh.unionByName(kept))
+    """The stored chunks as a table, the log as a run on top of it, and the table read back."""
+    table = ChunkTable(spark, new_dir(spark, "chunks"), share=math.inf)
+    table.load(views.stored_chunks(spark, sf_dir))
+    table.write(log, "run", views.NOW)
+    return _chunk_columns(table.read())
 
 
 def chunk_upsert(spark, sf_dir):
@@ -294,9 +308,20 @@ def log_replay(spark, sf_dir):
     return _merged_chunks(spark, sf_dir, views.change_log(spark, sf_dir))
 
 
+def replay_null_and_ties(spark, sf_dir):
+    """Every fifth row has no number, and four neighbours share one."""
+    seq = F.when(F.col("seq") % 5 != 0, F.floor(F.col("seq") / 4))
+    log = views.change_log(spark, sf_dir).withColumn("seq", seq)
+    return _merged_chunks(spark, sf_dir, log).select(
+        "workspace_id", "path", "symbol", "content", "content_hash", "created_at"
+    )
+
+
 def _merged_points(spark, sf_dir, log):
-    fresh, kept = replay.merge_points(views.stored_points(spark, sf_dir), log, ["seq"])
-    return fresh.unionByName(kept).select(
+    table = PointTable(spark, new_dir(spark, "points"), share=math.inf)
+    table.load(views.stored_points(spark, sf_dir))
+    table.write(log, "run", views.NOW)
+    return table.read().select(
         "id", "path", vector_text(F.col("vector")).alias("vector"), "payload"
     )
 
@@ -322,15 +347,14 @@ def memory_append(spark, sf_dir):
 def fanout_counts(spark, sf_dir):
     """Write the change log to one table of each kind and count what each one holds."""
     log = views.change_log(spark, sf_dir)
-    root = new_dir(spark, "sinks")
-    sinks = [
-        ChunkTable(spark, f"{root}/chunks", 8),
-        PointTable(spark, f"{root}/points", 8),
-        MemoryTable(spark, f"{root}/memories"),
-    ]
+    tables = TableSet(spark, new_dir(spark, "sinks"))
+    sinks = [ChunkTable.of(tables), PointTable.of(tables), MemoryTable.of(tables)]
+    writer = Writer("run", views.NOW)
+    for sink in sinks:
+        writer.put(sink, log)
+    writer.commit()
     counts = None
     for sink in sinks:
-        sink.write(log, "run", views.NOW)
         one = sink.read().agg(F.lit(sink.name).alias("sink"), F.count("*").alias("stored"))
         counts = one if counts is None else counts.unionByName(one)
     return counts
@@ -449,7 +473,7 @@ def dedup_stream(spark, sf_dir):
 
 def replay_stream_query(spark, sf_dir):
     out = new_dir(spark, "replay-stream")
-    chunks = ChunkTable(spark, f"{out}/chunks", 8)
+    chunks = ChunkTable(spark, f"{out}/chunks")
     query = replay_stream(
         _event_stream(spark, sf_dir), [chunks], f"{out}/checkpoint", now=views.NOW
     )
@@ -469,6 +493,7 @@ QUERIES = {
     "content_hash": content_hash,
     "dedup_snapshot": dedup_snapshot,
     "dedup_sequence": dedup_sequence,
+    "dedup_sequence_hot": dedup_sequence_hot,
     "dedup_with_deletes": dedup_with_deletes,
     "dedup_with_deletes_strict": dedup_with_deletes_strict,
     "snapshot_load": snapshot_load,
@@ -485,6 +510,7 @@ QUERIES = {
     "chunk_upsert": chunk_upsert,
     "chunk_delete_by_file": chunk_delete_by_file,
     "log_replay": log_replay,
+    "replay_null_and_ties": replay_null_and_ties,
     "vector_points": vector_points,
     "point_payload": point_payload,
     "vector_delete": vector_delete,

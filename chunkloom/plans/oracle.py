@@ -425,6 +425,11 @@ WHERE o.content_hash IS DISTINCT FROM sha256(r.content)""",
     "dedup_sequence": f"""WITH {_LOG},
 lagged AS (SELECT *, lag(content_hash) OVER (PARTITION BY path ORDER BY seq) AS p
   FROM log WHERE NOT deleted)
+SELECT path, seq, content_hash FROM lagged WHERE p IS DISTINCT FROM content_hash""",
+    "dedup_sequence_hot": f"""WITH {_LOG},
+clocked AS (SELECT CASE WHEN seq % 2 = 0 THEN 'hot' ELSE path END AS path, content_hash,
+    seq * 1000000007 + 1700000000000000000 AS seq FROM log WHERE NOT deleted),
+lagged AS (SELECT *, lag(content_hash) OVER (PARTITION BY path ORDER BY seq) AS p FROM clocked)
 SELECT path, seq, content_hash FROM lagged WHERE p IS DISTINCT FROM content_hash""",
     "dedup_with_deletes": _DEDUP,
     "dedup_with_deletes_strict": _DEDUP_STRICT,
@@ -480,6 +485,21 @@ GROUP BY ALL HAVING count(*) > 1""",
     "chunk_upsert": _replay("NOT deleted"),
     "chunk_delete_by_file": _replay("deleted AND seq % 40 = 0"),
     "log_replay": _replay("true"),
+    "replay_null_and_ties": f"""WITH {_LOG},
+part AS (SELECT * REPLACE (CASE WHEN seq % 5 <> 0 THEN seq // 4 END AS seq) FROM log),
+del AS (SELECT path, max(seq) AS last, true AS gone FROM part WHERE deleted GROUP BY path),
+ups AS (
+  SELECT p.*, row_number() OVER (
+    PARTITION BY p.path, symbol ORDER BY seq DESC NULLS LAST, content_hash DESC) AS r
+  FROM part p LEFT JOIN del d ON d.path = p.path
+  WHERE NOT deleted AND (gone IS NULL OR seq > last OR (last IS NULL AND seq IS NOT NULL))),
+live AS (SELECT * FROM base WHERE path NOT IN (SELECT path FROM del))
+SELECT 'w' AS workspace_id, u.path, u.symbol, u.content, u.content_hash, l.created_at
+FROM ups u LEFT JOIN live l ON l.path = u.path AND l.symbol = u.symbol WHERE r = 1
+UNION ALL
+SELECT workspace_id, path, symbol, content, content_hash, created_at
+FROM live l WHERE NOT EXISTS (
+  SELECT 1 FROM ups u WHERE u.path = l.path AND u.symbol = l.symbol)""",
     "vector_points": _points("true"),
     "vector_delete": _points("deleted AND seq % 40 = 0"),
     "point_payload": f"""WITH {_LOG}

@@ -4,6 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chunkloom.functions.text import hash_content
+from chunkloom.operators.dedup import null_safe
 
 
 class TableSource:
@@ -29,10 +30,8 @@ class TableSource:
         )
 
     def fetch(self, keys: DataFrame) -> DataFrame:
-        wanted = keys.select("workspace_id", "path", "seq")
-        return self.records.join(wanted, ["workspace_id", "path", "seq"], "left_semi").withColumn(
-            "error", F.lit(None).cast("string")
-        )
+        found = null_safe(self.records, keys, ["workspace_id", "path", "seq"], "left_semi")
+        return found.withColumn("error", F.lit(None).cast("string"))
 
     def close(self) -> None:
         pass

@@ -10,6 +10,8 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from chunkloom.sinks.versions import Writer
+
 
 def replay_stream(
     log: DataFrame,
@@ -23,14 +25,15 @@ def replay_stream(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
-        failed = []
+        writer, failed = Writer(f"{stream}-{batch_id}", now or datetime.now(UTC)), []
         batch.persist()
         try:
             for sink in sinks:
                 try:
-                    sink.write(batch, f"{stream}-{batch_id}", now or datetime.now(UTC))
+                    writer.put(sink, batch)
                 except Exception as error:
                     failed.append(error)
+            writer.commit()
         finally:
             batch.unpersist()
         if failed:

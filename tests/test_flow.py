@@ -156,9 +156,9 @@ def test_tombstones_ignore_present_paths(spark):
 
 class Tables:
     def __init__(self, spark, root):
-        self.snapshot = SnapshotTable(spark, f"{root}/snapshot", 4)
-        self.chunks = ChunkTable(spark, f"{root}/chunks", 4)
-        self.points = PointTable(spark, f"{root}/points", 4)
+        self.snapshot = SnapshotTable(spark, f"{root}/snapshot")
+        self.chunks = ChunkTable(spark, f"{root}/chunks")
+        self.points = PointTable(spark, f"{root}/points")
         self.memories = MemoryTable(spark, f"{root}/memories")
         self.sinks = [self.chunks, self.points, self.memories]
 

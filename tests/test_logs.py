@@ -6,8 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from chunkloom.operators.dedup import (
+    _block_of,
     changed_files,
     drop_unchanged,
+    hot_cuts,
     hot_paths,
     passing_versions,
 )
@@ -71,8 +73,9 @@ def test_passing_equals_loop(spark, deletes_reset, seq_block):
     hot = hot_paths(log, seq_block)
     if seq_block == 50:
         assert {r.path for r in hot.collect()} == {"hot"}
-    split = drop_unchanged(log, snapshot(spark), hot=hot, **options)
-    assert {(r[0], r[1], r[2]) for r in split.collect()} == wanted
+    for cut in (hot, hot_cuts(log, hot, seq_block)):
+        split = drop_unchanged(log, snapshot(spark), hot=cut, **options)
+        assert {(r[0], r[1], r[2]) for r in split.collect()} == wanted
 
 
 def test_passing_edges(spark):
@@ -212,14 +215,14 @@ def test_dedup_stream_equals_batch(spark, tmp_path, deletes_reset):
 
 def test_replay_stream_equals_batch(spark, tmp_path):
     events = event_files(spark, str(tmp_path / "in"))
-    stream_table = ChunkTable(spark, str(tmp_path / "stream"), 4)
+    stream_table = ChunkTable(spark, str(tmp_path / "stream"))
     replay_stream(
         streamed(spark, str(tmp_path / "in"), events.schema),
         [stream_table],
         str(tmp_path / "cp"),
         now=NOW,
     ).awaitTermination()
-    batch_table = ChunkTable(spark, str(tmp_path / "batch"), 4)
+    batch_table = ChunkTable(spark, str(tmp_path / "batch"))
     batch_table.write(shape_events(events), "run", NOW)
 
     def content(table):
@@ -268,3 +271,18 @@ def test_a_second_stream_appends_memories(spark, tmp_path):
     with pytest.raises(Exception, match="sinks failed"):
         broken.awaitTermination()
     assert table.read().count() == 3
+
+
+def test_sparse_numbers_are_cut_into_even_blocks(spark):
+    """One path, numbers of a clock with long pauses: no block holds more than twice its share."""
+    n, block = 20_000, 500
+    rows = spark.range(n).select(
+        F.lit("w").alias("workspace_id"), F.lit("hot").alias("path"),
+        (F.floor(F.col("id") / 100) * 10**15 + F.col("id") * 977).alias("seq"),
+    )
+    cuts = hot_cuts(rows, hot_paths(rows, block), block)
+    placed = rows.join(cuts, ["workspace_id", "path"]).select("seq", _block_of(F.col("seq"), F.col("cuts")).alias("b"))
+    sizes = [r["count"] for r in placed.groupBy("b").count().collect()]
+    assert len(sizes) >= n // block * 0.9 and max(sizes) <= 2 * block
+    ends = placed.groupBy("b").agg(F.min("seq").alias("lo"), F.max("seq").alias("hi")).orderBy("b").collect()
+    assert all(a.hi < b.lo for a, b in zip(ends, ends[1:]))
