@@ -128,4 +128,4 @@ def embedder(kind="hashing", dim: int = 1024, batch_size: int = 64) -> Callable:
         return lambda rows: embed_with_model(rows, kind, dim, batch_size)
     if kind == "hashing":
         return lambda rows: embed_by_hashing(rows, dim)
-    raise ValueError(f"unknown embedder {kind!r} (want 'hashing' or a callable)")
+    raise ValueError(f"embedding must be 'hashing' or a callable, not {kind!r}")

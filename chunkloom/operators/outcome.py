@@ -3,10 +3,13 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from chunkloom.functions.text import record_id
+
 
 def failed_rows(rows: DataFrame) -> DataFrame:
     """The quarantine: one row per failed record."""
     return rows.where("error IS NOT NULL").select(
+        "workspace_id",
         "file_id",
         "path",
         "stage",
@@ -15,6 +18,18 @@ def failed_rows(rows: DataFrame) -> DataFrame:
     )
 
 
+def unreadable_files(prints: DataFrame) -> DataFrame:
+    """Quarantine rows of what a source could not read, or could not name."""
+    return prints.where("error IS NOT NULL").select(
+        "workspace_id",
+        record_id(F.col("workspace_id"), F.col("path")).alias("file_id"),
+        "path",
+        F.lit("source").alias("stage"),
+        F.regexp_extract("error", r"^(\w+)", 1).alias("error_type"),
+        F.col("error").alias("message"),
+    )
+
+
 def good_rows(rows: DataFrame, quarantine: DataFrame) -> DataFrame:
     """Rows of the files without any error.
 

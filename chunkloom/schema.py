@@ -42,5 +42,6 @@ JOB_EVENTS = _struct(
     "error_msg string, total_files long"
 )
 QUARANTINE = _struct(
-    "file_id string, path string, stage string, error_type string, message string"
+    "run_id string, workspace_id string, file_id string, path string, stage string, "
+    "error_type string, message string, seen_at timestamp"
 )

@@ -70,9 +70,12 @@ class Table:
     def prepare(self, log: DataFrame, run_id: str, now: datetime) -> None:
         """Write the run's folders; a commit of the set makes them visible."""
         if not self.tables.has_run(self.name, run_id):
-            self._prepare(log, run_folder(run_id), now)
+            self._prepare(self._named(log, run_id), run_folder(run_id), now)
             self.tables.prepared(run_id, self.name)
 
+    def _named(self, log, run_id: str):
+        return log
+
     def write(self, log: DataFrame, run_id: str, now: datetime) -> None:
         self.prepare(log, run_id, now)
         self.tables.commit(run_id)
@@ -201,3 +204,20 @@ class MemoryTable(Table):
 
     def _prepare(self, log: DataFrame, folder: str, now: datetime) -> None:
         self._put("rows", replay.memories(log, self.source), folder)
+
+
+class QuarantineTable(Table):
+    """What failed, by run: an append-only list of files with stage, kind of error and message."""
+
+    name = "quarantine"
+    columns = schema.QUARANTINE
+
+    def read(self, version: int | None = None) -> DataFrame:
+        return self._get("rows", self.tables.segments(self.name, version), self.columns).drop("_version")
+
+    def _named(self, log: DataFrame, run_id: str) -> DataFrame:
+        return log.withColumn("run_id", F.lit(run_id))
+
+    def _prepare(self, log: DataFrame, folder: str, now: datetime) -> None:
+        stamped = log.withColumn("seen_at", F.lit(now).cast("timestamp"))
+        self._put("rows", stamped.select(*self.columns.names), folder)

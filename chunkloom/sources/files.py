@@ -15,6 +15,7 @@ fails the job: a listing cut short would look like deleted files.
 import hashlib
 import os
 from collections.abc import Callable, Iterable, Iterator
+from urllib.parse import urlsplit
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -292,7 +293,7 @@ class FileSource:
 
 def local_source(spark, workspace_id: str, root: str, extensions=None, seq: int = 0):
     if not os.path.isdir(root):
-        raise NotADirectoryError(f"{root} is not a directory")
+        raise NotADirectoryError(f"cannot scan {root!r}: no such folder")
     return FileSource(spark, workspace_id, LocalStore(root), extensions=extensions, seq=seq)
 
 
@@ -322,12 +323,16 @@ def s3_source(
 def azure_source(
     spark, workspace_id: str, account_name: str, account_key: str, container: str,
     prefix: str = "", extensions=None, seq: int = 0, make_filesystem=None,
-    inventory: DataFrame | None = None,
+    inventory: DataFrame | None = None, account_url: str = "",
 ):
+    """Blobs of a container; ``account_url`` names an endpoint other than the public one."""
+    place = urlsplit(account_url)
+    endpoint = {"blob_storage_authority": place.netloc, "blob_storage_scheme": place.scheme} if place.netloc else {}
+
     def default():
         from pyarrow.fs import AzureFileSystem
 
-        return AzureFileSystem(account_name=account_name, account_key=account_key)
+        return AzureFileSystem(account_name=account_name, account_key=account_key, **endpoint)
 
     return FileSource(
         spark,

@@ -23,7 +23,7 @@ from chunkloom.operators.fanout import fan_out
 from chunkloom.operators.snapshot import tombstones
 from chunkloom.schema import SNAPSHOT
 from chunkloom.sinks.ledger import JobLedger
-from chunkloom.sinks.tables import ChunkTable, MemoryTable, PointTable, SnapshotTable
+from chunkloom.sinks.tables import ChunkTable, MemoryTable, PointTable, QuarantineTable, SnapshotTable
 from chunkloom.sources.files import FileSource, FileStore, azure_source, local_source, s3_source
 from chunkloom.sources.tables import TableSource
 from tests.test_chunks import RECORDS, record
@@ -160,6 +160,7 @@ class Tables:
         self.chunks = ChunkTable(spark, f"{root}/chunks")
         self.points = PointTable(spark, f"{root}/points")
         self.memories = MemoryTable(spark, f"{root}/memories")
+        self.errors = QuarantineTable(spark, f"{root}/errors")
         self.sinks = [self.chunks, self.points, self.memories]
 
     def keys(self):
@@ -173,10 +174,12 @@ def test_flow_over_changes(spark, tree, tmp_path):
     def run(seq):
         return build_flow(
             spark, "w", "local", {"input": tree}, sinks=t.sinks, snapshot=t.snapshot,
-            find_deleted=True, dim=8, seq=seq,
+            quarantine=t.errors, find_deleted=True, dim=8, seq=seq,
         ).run()
 
     first = run(1)
+    (bad,) = t.errors.read().collect()
+    assert (bad.path, bad.stage, bad.error_type) == ("loop.md", "source", "IsADirectoryError")
     assert (first["records_in"], first["records_out"], first["records_skipped"]) == (8, 8, 0)
     assert (first["records_deleted"], first["records_failed"]) == (0, 1)
     assert first["errors_by_stage"] == {"source:IsADirectoryError": 1}
@@ -230,15 +233,21 @@ def test_failed_file_is_quarantined_whole(spark, tmp_path):
         {"id": "b", "path": "b", "language": "markdown", "content": "# 1\nok", "seq": 2},
     )
     flow = Flow("f").source(TableSource(rows)).dedup(t.snapshot)
-    flow.transform("fan_out", fan_out).transform("embed", embedder(failing_model, 2, 8))
+    flow.transform("fan_out", fan_out).transform("embed", embedder(failing_model, 2, 8)).quarantine(t.errors)
     for sink in t.sinks:
         flow.sink(sink)
     stats = flow.run()
     assert t.keys() == {("b", "1")}
     assert stats["errors_by_stage"] == {"embed:RuntimeError": 1}
     assert (stats["records_out"], stats["records_failed"]) == (1, 1)
-    # A failed file is tried again by the next run.
+    # A failed file is tried again by the next run, and what failed is kept by run.
     assert {r.path for r in t.snapshot.read().collect()} == {"b"}
+    (bad,) = t.errors.read().collect()
+    assert (bad.path, bad.stage, bad.error_type) == ("a", "embed", "RuntimeError")
+    fixed = Flow("f").source(TableSource(rows)).dedup(t.snapshot).quarantine(t.errors)
+    fixed.transform("fan_out", fan_out).transform("embed", embedder(lambda: lambda x: [[1.0, 0.0]] * len(x), 2, 8))
+    assert fixed.sink(t.chunks).run("fixed")["records_failed"] == 0
+    assert t.keys() == {("b", "1"), ("a", "1"), ("a", "2")} and t.errors.read().count() == 1
 
 
 def test_last_version_decides_the_snapshot(spark, tmp_path):
@@ -285,17 +294,19 @@ def test_one_failing_sink_does_not_stop_the_others(spark, tmp_path):
 
 
 def test_flow_needs_source_and_sink(spark, tmp_path):
-    with pytest.raises(ValueError, match="no source"):
+    with pytest.raises(ValueError, match="nothing to read"):
         Flow("f").sink(BrokenSink()).run()
-    with pytest.raises(ValueError, match="no sinks"):
+    with pytest.raises(ValueError, match="nowhere to write"):
         Flow("f").source(TableSource(versions(spark, {"content": "t"}))).run()
-    with pytest.raises(ValueError, match="requires config"):
+    with pytest.raises(ValueError, match="lacking .'input'"):
         build_flow(spark, "w", "", {}, sinks=[BrokenSink()])
-    with pytest.raises(ValueError, match="unknown source"):
+    with pytest.raises(ValueError, match="not one of the sources"):
         build_flow(spark, "w", "ftp", {}, sinks=[BrokenSink()])
-    with pytest.raises(ValueError, match="no sinks"):
+    with pytest.raises(ValueError, match="at least one sink"):
         build_flow(spark, "w", "local", {"input": str(tmp_path)})
-    with pytest.raises(ValueError, match="unknown embedder"):
+    with pytest.raises(ValueError, match="not known .'extension'"):
+        build_flow(spark, "w", "local", {"input": str(tmp_path), "extension": 1}, sinks=[BrokenSink()])
+    with pytest.raises(ValueError, match="must be .hashing. or a callable"):
         embedder("other")
 
 
@@ -360,6 +371,6 @@ def test_job_ledger(spark, tmp_path):
     broken = ledger.run("w", lambda: Flow("f").sink(BrokenSink()))
     assert ledger.get(done)["status"] == "done"
     assert ledger.get(broken)["status"] == "failed"
-    assert "no source" in ledger.get(broken)["error_msg"]
+    assert "nothing to read" in ledger.get(broken)["error_msg"]
     with pytest.raises(ValueError):
         ledger.run("", lambda: None)
