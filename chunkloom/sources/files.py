@@ -1,20 +1,20 @@
 """File trees and object stores as record sources.
 
-Listing runs as Spark jobs, one per directory level, so no single process holds the whole
-listing.  Where one directory or bucket is too large even for that, pass ``inventory``, a
-DataFrame of (key, size) such as the inventory report of an object store.
+Listing runs as Spark jobs over directories or key ranges (``listing``), so no single process holds the whole
+listing.  ``inventory`` replaces it: a DataFrame of (key, size) such as the inventory report of an object store.
 
 Reading is split by bytes, not by directory.  Contents are read twice only where it pays:
-`fingerprints` hashes every file on the executors and returns narrow rows, and `fetch` reads
+`fingerprints` hashes every file on the executors, block by block, and returns narrow rows, and `fetch` reads
 the text of just the files that passed dedup, so texts are never shuffled.
 
-A file that cannot be read becomes a row with an error.  A directory that cannot be listed
+A file that cannot be read becomes a row with an error.  So does the text of one that is too large for a
+value; it has a hash all the same.  A directory that cannot be listed
 fails the job: a listing cut short would look like deleted files.
 """
 
 import hashlib
 import os
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 from urllib.parse import urlsplit
 
 import pyarrow as pa
@@ -29,120 +29,74 @@ from chunkloom.functions.text import (
     record_id,
     relative_key,
 )
-from chunkloom.sinks.scratch import new_dir, remove
+from chunkloom.sinks.scratch import remove
+from chunkloom.sources.listing import FileStore, KeyStore, LocalStore, ObjectStore, Wanted, list_files
 
-_LISTED = pa.schema([("is_dir", pa.bool_()), ("key", pa.string()), ("size", pa.int64())])
 _BATCH_BYTES = 32 << 20  # content bytes per Arrow batch
 _SPLIT_BYTES = 256 << 20  # content bytes per read task
-_LARGEST = (1 << 31) - (1 << 20)  # a Spark value must stay below 2 GB
+_BLOCK_BYTES = 8 << 20  # bytes read and hashed at once
+LARGEST = (1 << 31) - (1 << 20)  # a Spark value must stay below 2 GB
 
-Lister = Callable[[str], Iterable[tuple[bool, str, int]]]
-Reader = Callable[[str], bytes]
 
+class _FileTooLarge(Exception):
+    pass
 
-class FileStore:
-    """How tasks list one directory and read one file; shipped to the executors."""
 
-    def open(self) -> tuple[Lister, Reader]:
-        raise NotImplementedError
+def _blocks(file, size: int) -> Iterator[bytes]:
+    step = max(1 << 16, min(_BLOCK_BYTES, size + 1))
+    while block := file.read(step):
+        yield block
 
 
-class LocalStore(FileStore):
-    """A directory every executor can see.  Links to directories are not followed."""
+def _digest(file, size: int) -> str:
+    """The hash of a file of any size, one block in memory."""
+    digest = hashlib.sha256()
+    for block in _blocks(file, size):
+        digest.update(block)
+    return digest.hexdigest()
 
-    def __init__(self, root: str):
-        self.root = root
 
-    def open(self):
-        def entries(key):
-            with os.scandir(os.path.join(self.root, key)) as found:
-                for e in found:
-                    is_dir = e.is_dir(follow_symlinks=False)
-                    size = 0 if is_dir else e.stat(follow_symlinks=False).st_size
-                    yield is_dir, os.path.join(key, e.name), size
+def _content(file, size: int, largest: int) -> bytes:
+    parts, held = [], size if size > largest else 0
+    for block in _blocks(file, size):
+        held += len(block)
+        if held > largest:
+            raise _FileTooLarge(f"more than {largest} bytes")
+        parts.append(block)
+    return b"".join(parts)
 
-        def read(key):
-            with open(os.path.join(self.root, key), "rb") as f:
-                return f.read()
 
-        return entries, read
-
-
-class ObjectStore(FileStore):
-    """A bucket or container behind a ``pyarrow.fs`` file system made inside each task."""
-
-    def __init__(self, bucket: str, make_filesystem: Callable):
-        self.bucket = bucket
-        self.make_filesystem = make_filesystem
-
-    def open(self):
-        from pyarrow.fs import FileSelector, FileType
-
-        fs = self.make_filesystem()
-        skip = len(self.bucket) + 1
-
-        def entries(key):
-            for info in fs.get_file_info(FileSelector(f"{self.bucket}/{key}".rstrip("/"))):
-                yield info.type == FileType.Directory, info.path[skip:], info.size or 0
-
-        def read(key):
-            with fs.open_input_stream(f"{self.bucket}/{key}") as f:
-                return f.read()
-
-        return entries, read
-
-
-def _list_level(store: FileStore):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entries, _ = store.open()
-        rows = []
-        for batch in batches:
-            for key in batch.column("key").to_pylist():
-                for row in entries(key):
-                    rows.append(row)
-                    if len(rows) == 10_000:
-                        yield _listed(rows)
-                        rows = []
-        if rows:
-            yield _listed(rows)
-
-    return run
-
-
-def _listed(rows) -> pa.RecordBatch:
-    columns = [pa.array(c, t.type) for c, t in zip(zip(*rows, strict=True), _LISTED, strict=True)]
-    return pa.RecordBatch.from_arrays(columns, schema=_LISTED)
-
-
-def _read_files(store: FileStore, with_content: bool):
+def _read_files(store: FileStore, with_content: bool, largest: int):
     fields = [("key", pa.string()), ("content_hash", pa.string()), ("error", pa.string())]
     if with_content:
         fields.append(("bytes", pa.binary()))
     schema = pa.schema(fields)
 
-    def one(read, key, size):
+    def one(open_file, key, size):
         try:
-            if size > _LARGEST:
-                raise ValueError(f"FileTooLarge: {size} bytes")
-            data = read(key)
+            with open_file(key) as file:
+                if not with_content:
+                    return None, _digest(file, size), None
+                data = _content(file, size, largest)
             return data, hashlib.sha256(data).hexdigest(), None
         except Exception as e:
-            return None, None, f"{type(e).__name__}: {e}"
+            return None, None, f"{type(e).__name__.lstrip('_')}: {e}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, read = store.open()
+        _, open_file = store.open()
         rows, held = [], 0
         for batch in batches:
             keys, sizes = batch.column("key").to_pylist(), batch.column("size").to_pylist()
             for key, size in zip(keys, sizes, strict=True):
+                size = size or 0  # an inventory may not know it
                 if rows and held + size > _BATCH_BYTES:
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)
                     rows, held = [], 0
-                data, digest, error = one(read, key, size)
+                data, digest, error = one(open_file, key, size)
                 row = {"key": key, "content_hash": digest, "error": error}
                 if with_content:
                     row["bytes"] = data
-                    held += size
+                    held += len(data or b"")
                 rows.append(row)
                 if len(rows) == 10_000:
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)
@@ -173,6 +127,7 @@ class FileSource:
         metadata: Callable[[Column], dict[str, Column]] = lambda key: {},
         seq: int = 0,
         inventory: DataFrame | None = None,
+        largest: int = LARGEST,
     ):
         self.spark = spark
         self.workspace_id = workspace_id
@@ -182,11 +137,12 @@ class FileSource:
         self.metadata = metadata
         self.seq = seq
         self.inventory = inventory
+        self.largest = largest
         self._entries = None
         self._listing = None
 
     def entries(self) -> DataFrame:
-        """``(key, size)`` of the matching files, listed once level by level."""
+        """``(key, size)`` of the matching files, listed once."""
         if self._entries is None:
             found = self._list() if self.inventory is None else self.inventory
             self._entries = self._matching(found.select("key", "size"))
@@ -200,33 +156,9 @@ class FileSource:
         return files.where(F.startswith(key, F.lit(self.prefix)))
 
     def _list(self) -> DataFrame:
-        spark = self.spark
-        base = self._listing = new_dir(spark, "listing")
-        tasks = spark.sparkContext.defaultParallelism * 4
-        top = "" if self.prefix is None else self.prefix.rpartition("/")[0]
-        frontier = spark.createDataFrame([(top,)], "key string")
-        schema = "is_dir boolean, key string, size long"
-        level = 0
-        while True:
-            path = f"{base}/level={level}"
-            listed = frontier.mapInArrow(_list_level(self.store), schema)
-            listed.write.parquet(path)
-            dirs = spark.read.schema(schema).parquet(path).where("is_dir").select("key")
-            dirs = self._visible_dirs(dirs)
-            if dirs.isEmpty():
-                break
-            frontier = dirs.repartition(tasks, "key")
-            level += 1
-        return spark.read.schema(f"{schema}, level int").parquet(base).where("NOT is_dir")
-
-    def _visible_dirs(self, dirs: DataFrame) -> DataFrame:
-        key = F.col("key")
-        if self.prefix is None:
-            return dirs.where(~in_hidden_dir(F.concat(key, F.lit("/"))))
-        # Descend only where keys can begin with the prefix.
-        inside = F.startswith(F.concat(key, F.lit("/")), F.lit(self.prefix))
-        above = F.startswith(F.lit(self.prefix), F.concat(key, F.lit("/")))
-        return dirs.where(inside | above)
+        wanted = Wanted(self.prefix, frozenset(e.lower() for e in self.extensions))
+        files, self._listing = list_files(self.spark, self.store, wanted)
+        return files
 
     def _split(self, entries: DataFrame) -> DataFrame:
         """Spread the files over tasks by total size, independent of their directories."""
@@ -244,7 +176,7 @@ class FileSource:
         schema = "key string, content_hash string, error string"
         if with_content:
             schema += ", bytes binary"
-        read = self._split(entries).mapInArrow(_read_files(self.store, with_content), schema)
+        read = self._split(entries).mapInArrow(_read_files(self.store, with_content, self.largest), schema)
         return read.select(
             F.lit(self.workspace_id).alias("workspace_id"),
             self._path().alias("path"),
@@ -297,11 +229,18 @@ def local_source(spark, workspace_id: str, root: str, extensions=None, seq: int
     return FileSource(spark, workspace_id, LocalStore(root), extensions=extensions, seq=seq)
 
 
+def _bucket(name: str, make_filesystem, make_pages) -> FileStore:
+    return KeyStore(name, make_filesystem, make_pages) if make_pages else ObjectStore(name, make_filesystem)
+
+
 def s3_source(
     spark, workspace_id: str, bucket: str, prefix: str = "", extensions=None, seq: int = 0,
-    make_filesystem=None, inventory: DataFrame | None = None,
+    make_filesystem=None, inventory: DataFrame | None = None, make_pages=None,
 ):
-    """Objects of a bucket; credentials come from the default chain of each executor."""
+    """Objects of a bucket; credentials come from the default chain of each executor.
+
+    ``make_pages`` (``listing.s3_pages(bucket)`` where the S3 client is installed) lists by prefix and key range.
+    """
 
     def default():
         from pyarrow.fs import S3FileSystem
@@ -311,7 +250,7 @@ def s3_source(
     return FileSource(
         spark,
         workspace_id,
-        ObjectStore(bucket, make_filesystem or default),
+        _bucket(bucket, make_filesystem or default, make_pages),
         extensions=extensions,
         prefix=prefix,
         metadata=lambda key: {"s3_key": key, "bucket": F.lit(bucket)},
@@ -323,7 +262,7 @@ def s3_source(
 def azure_source(
     spark, workspace_id: str, account_name: str, account_key: str, container: str,
     prefix: str = "", extensions=None, seq: int = 0, make_filesystem=None,
-    inventory: DataFrame | None = None, account_url: str = "",
+    inventory: DataFrame | None = None, account_url: str = "", make_pages=None,
 ):
     """Blobs of a container; ``account_url`` names an endpoint other than the public one."""
     place = urlsplit(account_url)
@@ -337,7 +276,7 @@ def azure_source(
     return FileSource(
         spark,
         workspace_id,
-        ObjectStore(container, make_filesystem or default),
+        _bucket(container, make_filesystem or default, make_pages),
         extensions=extensions,
         prefix=prefix,
         metadata=lambda key: {"blob_name": key, "container": F.lit(container)},

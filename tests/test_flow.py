@@ -5,6 +5,8 @@ import os
 
 import numpy as np
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyarrow.fs import LocalFileSystem
 from pyspark.sql import functions as F
 
@@ -24,7 +26,8 @@ from chunkloom.operators.snapshot import tombstones
 from chunkloom.schema import SNAPSHOT
 from chunkloom.sinks.ledger import JobLedger
 from chunkloom.sinks.tables import ChunkTable, MemoryTable, PointTable, QuarantineTable, SnapshotTable
-from chunkloom.sources.files import FileSource, FileStore, azure_source, local_source, s3_source
+from chunkloom.sources.files import FileSource, azure_source, local_source, s3_source
+from chunkloom.sources.listing import FileStore, KeyStore, LocalStore, Wanted, list_files, middle
 from chunkloom.sources.tables import TableSource
 from tests.test_chunks import RECORDS, record
 from tests.test_logs import NOW
@@ -129,6 +132,92 @@ def test_failed_listing_fails_the_job(spark):
         FileSource(spark, "w", FailingStore()).entries()
 
 
+def test_text_above_the_limit_is_quarantined_with_its_path(spark, tree, tmp_path):
+    def run(largest, name):
+        source = FileSource(spark, "w", LocalStore(tree), largest=largest)
+        hashes = {r.path: (r.content_hash, r.error) for r in source.fingerprints().collect()}
+        assert hashes == {p: (hashlib.sha256(TREE[p]).hexdigest(), None) for p in VISIBLE}
+        flow = Flow("f").source(source).transform("f", fan_out)
+        return flow.dedup(t.snapshot).quarantine(errors).sink(t.chunks).run(run_id=name)
+
+    t, errors = Tables(spark, str(tmp_path / "t")), QuarantineTable(spark, str(tmp_path / "e"))
+    stats = run(20, "small")
+    large = {p for p in VISIBLE if len(TREE[p]) > 20}
+    assert {(r.path, r.stage, r.error_type) for r in errors.read().collect()} == {
+        (p, "source", "FileTooLarge") for p in large
+    }
+    assert stats["records_failed"] == len(large) > 0
+    # not remembered, so that a run with room for them takes just these
+    again = run(1 << 20, "large")
+    assert again["records_skipped"] == len(VISIBLE) - len(large) and again["records_failed"] == 0
+
+
+KEYS = [f"src/{w}/{n:03d}{e}" for w in ("a", "b", "b~", "é") for n in range(40) for e in (".go", ".txt")]
+KEYS += ["src/.git/x.py", "srd/y.go", "a.go", "zz/q.go", "src/a/000.go/inner.MD"]
+
+
+class Bucket:
+    """Keys in order, handed out in pages of three; notes what it handed out."""
+
+    def __init__(self, log):
+        self.log = log
+
+    def __call__(self):
+        def page(prefix, after):
+            found = sorted(k for k in KEYS if k.startswith(prefix) and k > after)
+            with open(self.log, "a") as f:
+                f.writelines(f"{k}\n" for k in [f"? {prefix} {after}", *found[:3]])
+            return [(k, 1) for k in found[:3]], len(found) > 3
+
+        return page
+
+
+@pytest.mark.parametrize("prefix, calls", [("", 20), ("src", 1000), ("src/b", 1000), ("src/é/0", 10), ("none", 1)])
+def test_key_ranges_list_every_key_once(spark, tmp_path, prefix, calls):
+    log = str(tmp_path / "log")
+    store = KeyStore("b", LocalFileSystem, Bucket(log))
+    files, _ = list_files(spark, store, Wanted(prefix, frozenset({".go", ".md"})), calls, 40)
+    wanted = [k for k in KEYS if k.startswith(prefix) and k.lower().endswith((".go", ".md"))]
+    assert sorted(r.key for r in files.collect()) == sorted(wanted)
+    with open(log) as f:
+        lines = f.read().splitlines()
+    handed = [k for k in lines if not k.startswith("? ")]
+    asked = len(lines) - len(handed)
+    matching = sum(k.startswith(prefix) for k in KEYS)
+    assert all(k.startswith(prefix) for k in handed)
+    assert asked <= 2 * (matching // 3 + 2)
+
+
+def test_source_by_key_ranges(spark, tmp_path):
+    put(tmp_path, {f"b/{k}": b"t" for k in KEYS[:9] + ["src2/x.go"] if k.endswith(".go")})
+    pages = Bucket(str(tmp_path / "log"))
+    bucket = str(tmp_path / "b")
+    source = s3_source(spark, "w", bucket, "src/a/", [".go"], 1, LocalFileSystem, make_pages=pages)
+    rows = {r.path: r.error for r in source.fingerprints().collect()}
+    assert set(rows) == {f"{n:03d}.go" for n in range(40)}
+    assert sorted(p for p, e in rows.items() if e is None) == [f"{n:03d}.go" for n in range(5)]
+
+
+texts = st.text("a~b/ \u00e9\ud7ff\U0010ffff", max_size=6)
+
+
+@given(texts, texts)
+def test_middle_lies_between(a, b):
+    low, high = sorted([a, b])
+    half = middle(low, high)
+    assert half is None or low < half < high
+    half and half.encode()
+
+
+@pytest.mark.parametrize("calls", [1, 2, 1000])
+def test_trees_are_walked_in_rounds(spark, tree, calls):
+    wanted = Wanted(None, frozenset({".py", ".mdx"}))
+    files, _ = list_files(spark, LocalStore(tree), wanted, calls, calls)
+    assert {(r.key, r.size) for r in files.collect()} == {
+        (p, len(TREE[p])) for p in VISIBLE if p.endswith((".py", ".mdx"))
+    }
+
+
 def column(spark, values, function):
     rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
     return [r[0] for r in rows.orderBy("i").select(function(F.col("v"))).collect()]
