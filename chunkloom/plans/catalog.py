@@ -24,11 +24,11 @@ from chunkloom.operators.markdown import markdown_chunks
 from chunkloom.operators.python_symbols import python_chunks
 from chunkloom.plans import views
 from chunkloom.sinks.scratch import Scratch, new_dir
-from chunkloom.sinks.tables import ChunkTable, MemoryTable, PointTable
+from chunkloom.sinks.tables import ChunkTable, MemoryTable, PointTable, VersionTable
 from chunkloom.sinks.versions import TableSet, Writer
 from chunkloom.sources.files import local_source
 from chunkloom.sources.tables import TableSource
-from chunkloom.streaming.dedup import passing_stream
+from chunkloom.streaming.dedup import dedup_stream
 from chunkloom.streaming.replay import replay_stream
 
 DIM = 64
@@ -300,7 +300,7 @@ def chunk_upsert(spark, sf_dir):
 
 
 def chunk_delete_by_file(spark, sf_dir):
-    log = views.change_log(spark, sf_dir).where("action = 'delete' AND seq % 40 = 0")
+    log = views.change_log(spark, sf_dir).where("action = 'delete'")
     return _merged_chunks(spark, sf_dir, log)
 
 
@@ -331,7 +331,7 @@ def vector_points(spark, sf_dir):
 
 
 def vector_delete(spark, sf_dir):
-    log = views.change_log(spark, sf_dir).where("action = 'delete' AND seq % 40 = 0")
+    log = views.change_log(spark, sf_dir).where("action = 'delete'")
     return _merged_points(spark, sf_dir, log)
 
 
@@ -457,18 +457,16 @@ def _event_stream(spark, sf_dir):
     return views.shape_events(stream)
 
 
-def dedup_stream(spark, sf_dir):
+def dedup_stream_query(spark, sf_dir):
     out = new_dir(spark, "dedup-stream")
-    passing = passing_stream(_event_stream(spark, sf_dir), views.event_snapshot(spark, sf_dir))
-    query = (
-        passing.writeStream.format("parquet")
-        .option("path", f"{out}/rows")
-        .option("checkpointLocation", f"{out}/checkpoint")
-        .trigger(availableNow=True)
-        .start()
-    )
+    tables = TableSet(spark, f"{out}/tables")
+    passed = VersionTable.of(tables)
+    query = dedup_stream(
+        _event_stream(spark, sf_dir), tables, [passed], f"{out}/checkpoint",
+        snapshot=views.event_snapshot(spark, sf_dir), now=views.NOW,
+    )
     query.awaitTermination()
-    return spark.read.schema(passing.schema).parquet(f"{out}/rows").select("path", "seq")
+    return passed.read().select("path", "seq")
 
 
 def replay_stream_query(spark, sf_dir):
@@ -522,6 +520,6 @@ QUERIES = {
     "errors_by_stage": errors_by_stage,
     "flow_stats": flow_stats,
     "job_rollup": job_rollup_query,
-    "dedup_stream": dedup_stream,
+    "dedup_stream": dedup_stream_query,
     "replay_stream": replay_stream_query,
 }

@@ -483,7 +483,7 @@ FROM recs WHERE path NOT IN (SELECT path FROM mdc)""",
 SELECT r.workspace_id, path, symbol, count(*) AS copies FROM mdc JOIN recs r USING (path)
 GROUP BY ALL HAVING count(*) > 1""",
     "chunk_upsert": _replay("NOT deleted"),
-    "chunk_delete_by_file": _replay("deleted AND seq % 40 = 0"),
+    "chunk_delete_by_file": _replay("deleted"),
     "log_replay": _replay("true"),
     "replay_null_and_ties": f"""WITH {_LOG},
 part AS (SELECT * REPLACE (CASE WHEN seq % 5 <> 0 THEN seq // 4 END AS seq) FROM log),
@@ -501,7 +501,7 @@ SELECT workspace_id, path, symbol, content, content_hash, created_at
 FROM live l WHERE NOT EXISTS (
   SELECT 1 FROM ups u WHERE u.path = l.path AND u.symbol = l.symbol)""",
     "vector_points": _points("true"),
-    "vector_delete": _points("deleted AND seq % 40 = 0"),
+    "vector_delete": _points("deleted"),
     "point_payload": f"""WITH {_LOG}
 SELECT seq, id, {_PAYLOAD} || ',"content":"' || content || '"}}' AS payload
 FROM log WHERE NOT deleted""",

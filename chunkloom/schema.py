@@ -36,6 +36,7 @@ CHUNKS = _struct(
     "created_at timestamp, updated_at timestamp"
 )
 POINTS = _struct("id string, workspace_id string, path string, vector vector, payload string")
+VERSIONS = _struct("workspace_id string, path string, seq long, action string, content_hash string")
 MEMORIES = _struct("content string, metadata string")
 JOB_EVENTS = _struct(
     "job_id string, workspace_id string, seq long, ts timestamp, kind string, status string, "

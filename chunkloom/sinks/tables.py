@@ -206,6 +206,19 @@ class MemoryTable(Table):
         self._put("rows", replay.memories(log, self.source), folder)
 
 
+class VersionTable(Table):
+    """The versions of files that passed dedup: keys and hashes, append-only."""
+
+    name = "versions"
+    columns = schema.VERSIONS
+
+    def read(self, version: int | None = None) -> DataFrame:
+        return self._get("rows", self.tables.segments(self.name, version), self.columns).drop("_version")
+
+    def _prepare(self, log: DataFrame, folder: str, now: datetime) -> None:
+        self._put("rows", log.select(*self.columns.names), folder)
+
+
 class QuarantineTable(Table):
     """What failed, by run: an append-only list of files with stage, kind of error and message."""
 

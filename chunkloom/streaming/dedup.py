@@ -1,73 +1,92 @@
-"""Dedup of an endless change log: the last hash of every path is keyed state.
+"""Dedup of an endless change log: the last hash of every path is a versioned table.
 
-Only keys and hashes go through the state operator.  What one call holds is one path's rows of
-one micro-batch, so bound the micro-batch at the source (maxFilesPerTrigger and the like).
+Each micro-batch is compared with the table by ``operators.dedup.passing_versions``, hot paths cut into blocks, and
+adds what it changed. The new state and what passed are committed in one version, named by the query's id and the batch: a
+batch that died is repeated against the state before it, and one that is in already adds nothing.
+
+A batch scans the narrow state of its workspaces, so let triggers bring many rows. Rows without workspace or path do not
+pass; a row without a number comes before the others of its path in the batch.
 """
 
-from collections.abc import Iterator
+from datetime import UTC, datetime
 
-import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming import StatefulProcessor
-
-PASSING = "workspace_id string, path string, seq long"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
+from chunkloom.operators.dedup import PATH, SEQ_BLOCK, hot_cuts, hot_paths, null_safe, passing_versions
+from chunkloom.sinks.scratch import Scratch
+from chunkloom.sinks.tables import SnapshotTable
+from chunkloom.sinks.versions import TableSet, Writer
 
-class _LastHash(StatefulProcessor):
-    def __init__(self, deletes_reset: bool):
-        self.deletes_reset = deletes_reset
+_NARROW = ["workspace_id", "path", "seq", "action", "content_hash"]
 
-    def init(self, handle) -> None:
-        self.last = handle.getValueState("last", "hash string")
 
-    def handleInitialState(self, key, initialState, timerValues) -> None:
-        self.last.update((initialState["content_hash"].iloc[0],))
+def last_states(passing: DataFrame) -> DataFrame:
+    """``hash`` of the last passing row of each path, null after a delete; what did not pass changes nothing."""
+    deleted = F.col("action").eqNullSafe("delete")
+    order = F.struct(F.col("seq").isNotNull(), "seq")
+    return passing.groupBy(*PATH).agg(
+        F.max_by(F.when(~deleted, F.col("content_hash")), order).alias("hash")
+    )
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        log = pd.concat(list(rows), ignore_index=True).sort_values("seq", ignore_index=True)
-        deleted = log["action"] == "delete"
-        stored = self.last.get()[0] if self.last.exists() else None
-        compared = log if self.deletes_reset else log[~deleted]
-        hashes = compared["content_hash"].where(compared["action"] != "delete", None)
-        previous = hashes.shift(1)
-        if len(hashes):
-            previous.iloc[0] = stored
-            newest = hashes.iloc[-1]
-            if newest is None or pd.isna(newest):
-                self.last.clear()
-            else:
-                self.last.update((newest,))
-        fresh = hashes.fillna("") != previous.fillna("")
-        passing = log[deleted | fresh.reindex(log.index, fill_value=False)]
-        yield pd.DataFrame(
-            {"workspace_id": key[0], "path": key[1], "seq": passing["seq"].astype("int64")}
-        )
 
-    def close(self) -> None:
-        pass
+def dedup_stream(
+    log: DataFrame,
+    tables: TableSet,
+    sinks: list,
+    checkpoint: str,
+    *,
+    snapshot: DataFrame | None = None,
+    deletes_reset: bool = True,
+    seq_block: int = SEQ_BLOCK,
+    now: datetime | None = None,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Start writing the rows of ``log`` that pass, with all their columns, to every sink.
 
+    The state is the snapshot table of ``tables``; ``snapshot`` is its content where it has none yet. Sinks in the
+    same set are committed with the state. Others are written before it, and again if the
+    batch is repeated. ``trigger`` defaults to all available input.
+    """
+    state = SnapshotTable.of(tables)
+    if snapshot is not None and not tables.segments(state.name):
+        state.load(snapshot)
 
-def passing_stream(
-    log: DataFrame, snapshot: DataFrame | None = None, *, deletes_reset: bool = True
-) -> DataFrame:
-    """Streaming form of ``operators.dedup.passing_versions``.
+    def write(batch: DataFrame, batch_id: int) -> None:
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        run_id = f"{stream}-{batch_id}"
+        if tables.has_run(state.name, run_id):
+            return
+        writer = Writer(run_id, now or datetime.now(UTC))
+        with Scratch(tables.spark) as scratch:
+            staged = scratch.staged
+            rows = staged(batch.select(*_NARROW), "batch")
+            here = staged(rows.select("workspace_id").distinct(), "workspaces")
+            known = state.read().join(here.where("workspace_id >= ''"), "workspace_id", "left_semi")
+            hot = staged(hot_paths(rows, seq_block), "hot")
+            hot = staged(hot_cuts(rows, hot, seq_block), "cuts")
+            passing = passing_versions(
+                rows, known, hot=hot, carry=("action", "content_hash"),
+                deletes_reset=deletes_reset, seq_block=seq_block,
+            )
+            passing = staged(passing, "passing")
+            last = last_states(passing if deletes_reset else passing.where("NOT action <=> 'delete'"))
+            last = staged(last, "last")
+            out = passing
+            if set(batch.columns) != set(_NARROW):
+                out = null_safe(batch, passing.select(*PATH, "seq"), [*PATH, "seq"], "left_semi")
+            for sink in sinks:
+                writer.put(sink, out)
+            seen = last.where("hash IS NOT NULL").withColumnRenamed("hash", "content_hash")
+            writer.put(state, seen, last.where("hash IS NULL").select(*PATH))
+            writer.commit()
+        for table in [*sinks, state]:
+            getattr(table, "tidy", lambda: None)()
 
-    ``log`` needs workspace_id, path, seq, action and content_hash; the order within a
-    micro-batch is by seq.  Needs the RocksDB state store provider.
-    """
-    spark = log.sparkSession
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    initial = None
-    if snapshot is not None:
-        initial = snapshot.select("workspace_id", "path", "content_hash").groupBy(
-            "workspace_id", "path"
-        )
-    narrow = log.select("workspace_id", "path", "seq", "action", "content_hash")
-    return narrow.groupBy("workspace_id", "path").transformWithStateInPandas(
-        statefulProcessor=_LastHash(deletes_reset),
-        outputStructType=PASSING,
-        outputMode="Append",
-        timeMode="None",
-        initialState=initial,
+    return (
+        log.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
     )

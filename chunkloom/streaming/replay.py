@@ -34,6 +34,8 @@ def replay_stream(
                 except Exception as error:
                     failed.append(error)
             writer.commit()
+            for sink in sinks:
+                getattr(sink, "tidy", lambda: None)()
         finally:
             batch.unpersist()
         if failed:

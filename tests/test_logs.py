@@ -16,8 +16,9 @@ from chunkloom.operators.dedup import (
 from chunkloom.operators.replay import merge_chunks, merge_points
 from chunkloom.plans.views import NOW, shape_events
 from chunkloom.schema import CHUNKS, POINTS, SNAPSHOT
-from chunkloom.sinks.tables import ChunkTable, MemoryTable
-from chunkloom.streaming.dedup import passing_stream
+from chunkloom.sinks.tables import ChunkTable, MemoryTable, SnapshotTable, VersionTable
+from chunkloom.sinks.versions import TableSet
+from chunkloom.streaming.dedup import dedup_stream
 from chunkloom.streaming.replay import replay_stream
 
 LOG = "workspace_id string, path string, seq long, action string, content_hash string"
@@ -189,28 +190,65 @@ def streamed(spark, path, schema):
     )
 
 
-@pytest.mark.parametrize("deletes_reset", [True, False])
-def test_dedup_stream_equals_batch(spark, tmp_path, deletes_reset):
+def passed_rows(table):
+    return sorted(map(tuple, table.read().select("workspace_id", "path", "seq").collect()))
+
+
+@pytest.mark.parametrize("deletes_reset, seq_block", [(True, 20), (False, 1_000_000)])
+def test_dedup_stream_equals_batch(spark, tmp_path, deletes_reset, seq_block):
     events = event_files(spark, str(tmp_path / "in"))
     log = shape_events(events)
     known = log.where("path = 'u5'").limit(1).select(
         "workspace_id", "path", "content_hash", F.lit(NOW).cast("timestamp").alias("updated_at")
     )
-    passing = passing_stream(
-        streamed(spark, str(tmp_path / "in"), events.schema), known, deletes_reset=deletes_reset
-    )
-    query = (
-        passing.writeStream.format("parquet")
-        .option("path", str(tmp_path / "out"))
-        .option("checkpointLocation", str(tmp_path / "cp"))
-        .trigger(availableNow=True)
-        .start()
-    )
+    tables = TableSet(spark, str(tmp_path / "tables"))
+    passed, texts = VersionTable.of(tables), MemoryTable(spark, str(tmp_path / "texts"))
+
+    def stream(sinks):
+        return dedup_stream(
+            streamed(spark, str(tmp_path / "in"), events.schema), tables, sinks, str(tmp_path / "cp"),
+            snapshot=known, deletes_reset=deletes_reset, seq_block=seq_block, now=NOW,
+        )
+
+    class Broken:
+        name = "broken"
+
+        def write(self, log, run_id, now):
+            if tables.version()["version"] > 2:
+                raise OSError("no room")
+
+    broken = stream([passed, Broken()])  # stops after the first batch, at a sink that had its rows
+    with pytest.raises(Exception, match="no room"):
+        broken.awaitTermination()
+    query = stream([passed, texts])
     query.awaitTermination()
     assert query.lastProgress["batchId"] >= 3
-    found = spark.read.parquet(str(tmp_path / "out")).collect()
-    batch = passing_versions(log, known, deletes_reset=deletes_reset).collect()
-    assert sorted(map(tuple, found)) == sorted(map(tuple, batch))
+    batch = passing_versions(log, known, deletes_reset=deletes_reset)
+    assert passed_rows(passed) == sorted(map(tuple, batch.collect()))
+    assert 0 < texts.read().count() < passed.read().where("action <> 'delete'").count()
+    state = {r.path: r.content_hash for r in SnapshotTable.of(tables).read().collect()}
+    wanted = {r.path: r.content_hash for r in known.collect()}
+    for r in sorted(log.collect(), key=lambda r: r.seq):
+        if r.action != "delete":
+            wanted[r.path] = r.content_hash
+        elif deletes_reset:
+            wanted.pop(r.path, None)
+    assert state == wanted
+
+
+def test_dedup_stream_edges(spark, tmp_path):
+    rows = [
+        ("w", "p", 2, "upsert", "A"), ("w", "p", None, "upsert", "A"), (None, "p", 1, "upsert", "A"),
+        ("w", None, 1, "upsert", "A"), ("v", "p", 1, None, "B"), ("v", "q", 1, "delete", None),
+    ]
+    spark.createDataFrame(rows, LOG).write.parquet(str(tmp_path / "in"))
+    log = spark.readStream.schema(LOG).parquet(str(tmp_path / "in"))
+    tables = TableSet(spark, str(tmp_path / "tables"))
+    dedup_stream(log, tables, [VersionTable.of(tables)], str(tmp_path / "cp")).awaitTermination()
+    found = {(r.workspace_id, r.path, r.seq) for r in VersionTable.of(tables).read().collect()}
+    assert found == {("w", "p", None), ("v", "p", 1), ("v", "q", 1)}
+    state = {(r.workspace_id, r.path, r.content_hash) for r in SnapshotTable.of(tables).read().collect()}
+    assert state == {("w", "p", "A"), ("v", "p", "B")}
 
 
 def test_replay_stream_equals_batch(spark, tmp_path):
