@@ -1,6 +1,6 @@
 """Per-file quarantine, counters and error counts."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chunkloom.functions.text import record_id
@@ -44,29 +44,24 @@ def errors_by_stage(quarantine: DataFrame) -> DataFrame:
     return quarantine.groupBy("stage", "error_type").agg(F.count("*").alias("errors"))
 
 
-def flow_counters(records_in: DataFrame, rows: DataFrame, good: DataFrame) -> DataFrame:
-    """One row of counters.
+def print_counts() -> dict[str, Column]:
+    """Aggregates of a source's fingerprints."""
+    return {
+        "records_in": F.count(F.lit(1)),
+        "unreadable": F.count("error"),
+        "last_seq": F.coalesce(F.max("seq"), F.lit(0)),
+    }
 
-    ``rows`` are the fanned-out rows with ``error``; each file that came through dedup has
-    exactly one row with chunk_no 0, which counts files without a distinct.
+
+def row_counts() -> dict[str, Column]:
+    """Aggregates of the fanned-out rows with ``error``.
+
+    Each file that came through dedup has exactly one row with chunk_no 0, which counts files without a distinct.
     """
-    failed_row = F.col("error").isNotNull()
-    parts = [
-        records_in.agg(F.count("*").alias("records_in")),
-        rows.agg(
-            F.count_if(F.col("chunk_no") == 0).alias("files"),
-            F.count_if((F.col("action") == "delete") & ~failed_row).alias("records_deleted"),
-            F.count_if(failed_row).alias("records_failed"),
-        ),
-        good.agg(F.count("*").alias("records_out")),
-    ]
-    one = parts[0]
-    for part in parts[1:]:
-        one = one.unionByName(part, allowMissingColumns=True)
-    return one.agg(
-        F.sum("records_in").alias("records_in"),
-        F.sum("records_out").alias("records_out"),
-        (F.sum("records_in") - F.sum("files")).alias("records_skipped"),
-        F.sum("records_deleted").alias("records_deleted"),
-        F.sum("records_failed").alias("records_failed"),
-    )
+    deleted = (F.col("action") == "delete") & F.col("error").isNull()
+    return {
+        "rows": F.count(F.lit(1)),
+        "files": F.count(F.when(F.col("chunk_no") == 0, 1)),
+        "records_deleted": F.count(F.when(deleted, 1)),
+        "records_failed": F.count("error"),
+    }

@@ -23,8 +23,9 @@ from chunkloom.operators.jobs import job_rollup
 from chunkloom.operators.markdown import markdown_chunks
 from chunkloom.operators.python_symbols import python_chunks
 from chunkloom.plans import views
+from chunkloom.plans.flow import Flow
 from chunkloom.sinks.scratch import Scratch, new_dir
-from chunkloom.sinks.tables import ChunkTable, MemoryTable, PointTable, VersionTable
+from chunkloom.sinks.tables import ChunkTable, MemoryTable, PointTable, SnapshotTable, VersionTable
 from chunkloom.sinks.versions import TableSet, Writer
 from chunkloom.sources.files import local_source
 from chunkloom.sources.tables import TableSource
@@ -286,10 +287,10 @@ def _chunk_columns(df: DataFrame) -> DataFrame:
     )
 
 
-def _merged_chunks(spark, sf_dir, log):
+def _merged_chunks(spark, sf_dir, log, stored=None):
     """The stored chunks as a table, the log as a run on top of it, and the table read back."""
     table = ChunkTable(spark, new_dir(spark, "chunks"), share=math.inf)
-    table.load(views.stored_chunks(spark, sf_dir))
+    table.load(views.stored_chunks(spark, sf_dir) if stored is None else stored)
     table.write(log, "run", views.NOW)
     return _chunk_columns(table.read())
 
@@ -299,9 +300,14 @@ def chunk_upsert(spark, sf_dir):
     return _merged_chunks(spark, sf_dir, log)
 
 
+def _symbol_files(rows: DataFrame, symbol="symbol") -> DataFrame:
+    """Each symbol of a user as a file of its own; no row of the log deletes those of s9."""
+    return rows.withColumn("path", F.concat_ws("/", "path", symbol))
+
+
 def chunk_delete_by_file(spark, sf_dir):
-    log = views.change_log(spark, sf_dir).where("action = 'delete'")
-    return _merged_chunks(spark, sf_dir, log)
+    deletes = _symbol_files(views.change_log(spark, sf_dir)).where("action = 'delete'")
+    return _merged_chunks(spark, sf_dir, deletes, _symbol_files(views.stored_chunks(spark, sf_dir)))
 
 
 def log_replay(spark, sf_dir):
@@ -317,9 +323,9 @@ def replay_null_and_ties(spark, sf_dir):
     )
 
 
-def _merged_points(spark, sf_dir, log):
+def _merged_points(spark, sf_dir, log, stored=None):
     table = PointTable(spark, new_dir(spark, "points"), share=math.inf)
-    table.load(views.stored_points(spark, sf_dir))
+    table.load(views.stored_points(spark, sf_dir) if stored is None else stored)
     table.write(log, "run", views.NOW)
     return table.read().select(
         "id", "path", vector_text(F.col("vector")).alias("vector"), "payload"
@@ -331,8 +337,10 @@ def vector_points(spark, sf_dir):
 
 
 def vector_delete(spark, sf_dir):
-    log = views.change_log(spark, sf_dir).where("action = 'delete'")
-    return _merged_points(spark, sf_dir, log)
+    deletes = _symbol_files(views.change_log(spark, sf_dir)).where("action = 'delete'")
+    stored = views.stored_points(spark, sf_dir)
+    stored = _symbol_files(stored, F.substring_index("id", "#", -1))
+    return _merged_points(spark, sf_dir, deletes, stored)
 
 
 def point_payload(spark, sf_dir):
@@ -398,20 +406,25 @@ def workspace_index(spark, sf_dir):
     )
 
 
-def _with_errors(spark, sf_dir):
-    """Markdown chunks of which an embedder with a length limit rejects the long ones."""
+def _some_deleted(spark, sf_dir):
     recs = views.records(spark, sf_dir, views.md_content, [".md"])
-    recs = recs.withColumn(
-        "action", F.when(F.col("seq") % 10 == 9, "delete").otherwise("upsert")
-    )
-    long = (F.length("content") > TOO_LONG) & (F.col("action") != "delete")
+    return recs.withColumn("action", F.when(F.col("seq") % 10 == 9, "delete").otherwise("upsert"))
+
+
+def _reject(rows: DataFrame) -> DataFrame:
+    """A step that takes neither long texts, as an embedder with a limit, nor chunks without a symbol."""
+    live = F.col("action") != "delete"
     message = F.concat(F.lit("TextTooLong: "), F.length("content").cast("string"))
-    empty = F.lit("EmptyName: no symbol")
-    rows = fan_out(recs)
-    nameless = (F.col("symbol") == "") & (F.col("action") != "delete")
-    return rows.withColumn(
-        "error", F.when(long, message).when(nameless, empty)
-    ).withColumn("stage", F.when(long, "embed").when(nameless, "fan_out"))
+    error = F.when(live & (F.length("content") > TOO_LONG), message)
+    return rows.withColumn("error", error.when(live & (F.col("symbol") == ""), "EmptyName: no symbol"))
+
+
+def _with_errors(spark, sf_dir):
+    """Markdown chunks of which some are rejected, with the stage that did it."""
+    long = F.startswith("error", F.lit("TextTooLong"))
+    rows = _reject(fan_out(_some_deleted(spark, sf_dir)))
+    stage = F.when(long, "embed").when(F.col("error").isNotNull(), "fan_out")
+    return rows.withColumn("stage", stage)
 
 
 def _staged_errors(spark, sf_dir):
@@ -432,11 +445,18 @@ def errors_by_stage(spark, sf_dir):
 
 
 def flow_stats(spark, sf_dir):
-    rows, scratch = _staged_errors(spark, sf_dir)
-    rows = rows.where("seq % 4 <> 0 OR action = 'delete'")
-    quarantine = scratch.staged(outcome.failed_rows(rows), "quarantine")
-    recs = views.table(spark, sf_dir, "documents").select("doc_id")
-    return outcome.flow_counters(recs, rows, outcome.good_rows(rows, quarantine))
+    """The counters of a flow over all records, of which a quarter is unchanged since the snapshot."""
+    recs = _some_deleted(spark, sf_dir)
+    tables = TableSet(spark, new_dir(spark, "flow"))
+    snapshot = SnapshotTable.of(tables)
+    snapshot.load(views.old_snapshot(recs))
+    flow = Flow("stats").source(TableSource(recs)).dedup(snapshot)
+    flow.transform("fan_out", fan_out).transform("reject", _reject).sink(ChunkTable.of(tables))
+    stats = flow.run("run", views.NOW)
+    names = ("records_in", "records_out", "records_skipped", "records_deleted", "records_failed")
+    return spark.createDataFrame(
+        [tuple(stats[n] for n in names)], ", ".join(f"{n} long" for n in names)
+    )
 
 
 def job_rollup_query(spark, sf_dir):

@@ -320,9 +320,13 @@ UNION ALL SELECT path, seq, 'delete' FROM log WHERE deleted""",
 )
 
 
-def _replay(which: str, base: str = "base") -> str:
+# Each symbol of a user as a file of its own.
+_BY_SYMBOL = "(SELECT * REPLACE (path || '/' || symbol AS path) FROM {})"
+
+
+def _replay(which: str, base: str = "base", log: str = "log") -> str:
     return f"""WITH {_LOG},
-part AS (SELECT * FROM log WHERE {which}),
+part AS (SELECT * FROM {log} WHERE {which}),
 del AS (SELECT path, max(seq) AS last FROM part WHERE deleted GROUP BY path),
 ups AS (
   SELECT p.*, row_number() OVER (PARTITION BY p.path, symbol ORDER BY seq DESC) AS r
@@ -338,9 +342,9 @@ FROM live l WHERE NOT EXISTS (
   SELECT 1 FROM ups u WHERE u.path = l.path AND u.symbol = l.symbol)"""
 
 
-def _points(which: str) -> str:
+def _points(which: str, base: str = "base", log: str = "log") -> str:
     return f"""WITH {_LOG},
-part AS (SELECT * FROM log WHERE ({which}) AND (deleted OR vector IS NOT NULL)),
+part AS (SELECT * FROM {log} WHERE ({which}) AND (deleted OR vector IS NOT NULL)),
 del AS (SELECT path, max(seq) AS last FROM part WHERE deleted GROUP BY path),
 ups AS (
   SELECT p.*, row_number() OVER (PARTITION BY p.id ORDER BY seq DESC) AS r
@@ -349,7 +353,7 @@ ups AS (
 SELECT id, path, vector, {_PAYLOAD} || ',"content":"' || content || '"}}' AS payload
 FROM ups WHERE r = 1
 UNION ALL
-SELECT id, path, '1000000,0', '{{}}' FROM base
+SELECT id, path, '1000000,0', '{{}}' FROM {base}
 WHERE path NOT IN (SELECT path FROM del) AND id NOT IN (SELECT id FROM ups)"""
 
 
@@ -483,7 +487,7 @@ FROM recs WHERE path NOT IN (SELECT path FROM mdc)""",
 SELECT r.workspace_id, path, symbol, count(*) AS copies FROM mdc JOIN recs r USING (path)
 GROUP BY ALL HAVING count(*) > 1""",
     "chunk_upsert": _replay("NOT deleted"),
-    "chunk_delete_by_file": _replay("deleted"),
+    "chunk_delete_by_file": _replay("deleted", _BY_SYMBOL.format("base"), _BY_SYMBOL.format("log")),
     "log_replay": _replay("true"),
     "replay_null_and_ties": f"""WITH {_LOG},
 part AS (SELECT * REPLACE (CASE WHEN seq % 5 <> 0 THEN seq // 4 END AS seq) FROM log),
@@ -501,7 +505,7 @@ SELECT workspace_id, path, symbol, content, content_hash, created_at
 FROM live l WHERE NOT EXISTS (
   SELECT 1 FROM ups u WHERE u.path = l.path AND u.symbol = l.symbol)""",
     "vector_points": _points("true"),
-    "vector_delete": _points("deleted"),
+    "vector_delete": _points("deleted", _BY_SYMBOL.format("base"), _BY_SYMBOL.format("log")),
     "point_payload": f"""WITH {_LOG}
 SELECT seq, id, {_PAYLOAD} || ',"content":"' || content || '"}}' AS payload
 FROM log WHERE NOT deleted""",

@@ -40,7 +40,7 @@ VERSIONS = _struct("workspace_id string, path string, seq long, action string, c
 MEMORIES = _struct("content string, metadata string")
 JOB_EVENTS = _struct(
     "job_id string, workspace_id string, seq long, ts timestamp, kind string, status string, "
-    "error_msg string, total_files long"
+    "error_msg string, total_files long, files long"
 )
 QUARANTINE = _struct(
     "run_id string, workspace_id string, file_id string, path string, stage string, "

@@ -1,5 +1,10 @@
-"""The job ledger: an append-only event table and its roll-up."""
+"""The job ledger: an append-only event table and its roll-up.
 
+Events are written in batches, one folder per batch. The batches of a run are named by its job and their place in it, so
+a repeated run replaces what it wrote before and counts nothing twice.
+"""
+
+import hashlib
 import time
 import uuid
 from collections.abc import Callable
@@ -16,59 +21,74 @@ class JobLedger:
         self.spark = spark
         self.path = path
 
-    def _append(self, job_id: str, workspace_id: str, kind: str, **values) -> None:
-        event = {
-            "job_id": job_id,
-            "workspace_id": workspace_id,
-            "seq": time.time_ns(),
-            "ts": datetime.now(UTC),
-            "kind": kind,
-            "status": None,
-            "error_msg": None,
-            "total_files": None,
-            **values,
-        }
-        one = self.spark.createDataFrame(
-            [tuple(event[name] for name in schema.JOB_EVENTS.names)], schema.JOB_EVENTS
+    def _folder(self, batch: str) -> str:
+        return f"{self.path}/events-{hashlib.sha256(batch.encode()).hexdigest()[:32]}"
+
+    def _written(self, batch: str) -> bool:
+        target = self.spark._jvm.org.apache.hadoop.fs.Path(self._folder(batch) + "/_SUCCESS")
+        return target.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(target)
+
+    def _put(self, job_id: str, workspace_id: str, events: list[dict], batch: str | None = None) -> None:
+        """Write events as one file; a batch of the same name is replaced."""
+        start, now = time.time_ns(), datetime.now(UTC)
+        rows = [
+            {"job_id": job_id, "workspace_id": workspace_id, "seq": start + n, "ts": now} | event
+            for n, event in enumerate(events)
+        ]
+        table = self.spark.createDataFrame(
+            [tuple(row.get(name) for name in schema.JOB_EVENTS.names) for row in rows], schema.JOB_EVENTS
         )
-        one.coalesce(1).write.mode("append").parquet(self.path)
+        table.coalesce(1).write.mode("overwrite").parquet(self._folder(batch or uuid.uuid4().hex))
 
     def events(self) -> DataFrame:
-        return self.spark.read.schema(schema.JOB_EVENTS).parquet(self.path)
+        files = self.spark.read.schema(schema.JOB_EVENTS).option("recursiveFileLookup", True)
+        return files.parquet(self.path)
 
     def jobs(self) -> DataFrame:
         return job_rollup(self.events())
 
     def create(self, workspace_id: str, total_files: int = 0) -> str:
         job_id = uuid.uuid4().hex
-        self._append(job_id, workspace_id, "created", total_files=total_files)
+        self._put(job_id, workspace_id, [{"kind": "created", "total_files": total_files}])
         return job_id
 
     def update_status(
         self, job_id: str, workspace_id: str, status: str, error_msg: str = ""
     ) -> None:
-        self._append(job_id, workspace_id, "status", status=status, error_msg=error_msg)
+        self._put(job_id, workspace_id, [{"kind": "status", "status": status, "error_msg": error_msg}])
 
-    def count_done(self, job_id: str, workspace_id: str) -> None:
-        self._append(job_id, workspace_id, "done")
+    def count_done(self, job_id: str, workspace_id: str, files: int = 1) -> None:
+        self._put(job_id, workspace_id, [{"kind": "done", "files": files}])
 
-    def count_failed(self, job_id: str, workspace_id: str) -> None:
-        self._append(job_id, workspace_id, "failed")
+    def count_failed(self, job_id: str, workspace_id: str, files: int = 1) -> None:
+        self._put(job_id, workspace_id, [{"kind": "failed", "files": files}])
 
     def get(self, job_id: str) -> dict | None:
         row = get_job(self.events(), job_id).first()
         return row.asDict() if row else None
 
-    def run(self, workspace_id: str, build: Callable) -> str:
-        """Create a job, build a flow, run it, and record how it ended."""
+    def run(self, workspace_id: str, build: Callable, job_id: str | None = None) -> str:
+        """Create a job, build a flow, run it, and record how it ended and how many files it took or failed.
+
+        With the ``job_id`` of an earlier try the job is run again: its end replaces the one recorded before.
+        """
         if not workspace_id:
             raise ValueError("workspace_id is required")
-        job_id = self.create(workspace_id)
-        self.update_status(job_id, workspace_id, "running")
+        job_id = job_id or uuid.uuid4().hex
+        begin, end = f"begin:{job_id}", f"end:{job_id}"
+        if not self._written(begin):
+            start = [{"kind": "created", "total_files": 0}, {"kind": "status", "status": "running", "error_msg": ""}]
+            self._put(job_id, workspace_id, start, begin)
+        last = {"kind": "status", "status": "done", "error_msg": ""}
         try:
-            build().run(run_id=job_id)
+            stats = build().run(run_id=job_id)
         except Exception as e:
-            self.update_status(job_id, workspace_id, "failed", str(e))
-        else:
-            self.update_status(job_id, workspace_id, "done")
+            stats = getattr(e, "stats", {})
+            last |= {"status": "failed", "error_msg": str(e)}
+        done, failed = stats.get("files_done", 0), stats.get("files_failed", 0)
+        counts = [
+            {"kind": "done", "files": done, "total_files": done + failed},
+            {"kind": "failed", "files": failed},
+        ]
+        self._put(job_id, workspace_id, [*counts, last], end)
         return job_id

@@ -3,7 +3,9 @@
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -49,3 +51,12 @@ class Scratch:
         self.paths.append(path)
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+    def counted(self, df: DataFrame, name: str, counts: dict[str, Column]) -> tuple[DataFrame, Callable[[], dict]]:
+        """As ``staged``, with aggregates of the rows taken while they are written, so without a job of their own.
+
+        They are observed directly below the write, whose tasks count once however often they are tried.
+        """
+        seen = Observation()
+        table = self.staged(df.observe(seen, *[value.alias(key) for key, value in counts.items()]), name)
+        return table, lambda: seen.get

@@ -458,7 +458,25 @@ def test_job_ledger(spark, tmp_path):
         "w", lambda: Flow("f").source(TableSource(rows)).transform("f", fan_out).sink(t.chunks)
     )
     broken = ledger.run("w", lambda: Flow("f").sink(BrokenSink()))
-    assert ledger.get(done)["status"] == "done"
+    found = ledger.get(done)
+    assert (found["status"], found["done"], found["failed"], found["total_files"]) == ("done", 1, 0, 1)
+    before = ledger.events().count()
+    mixed = versions(
+        spark, *[{"path": p, "id": p, "language": "text", "content": "t", "seq": n} for n, p in enumerate("abc")]
+    )
+
+    def partly(name):
+        spoil = F.when(F.col("path") == name, "Spoilt: no").otherwise(F.col("error"))
+        flow = Flow("f").source(TableSource(mixed)).transform("f", fan_out)
+        return flow.transform("g", lambda rows: rows.withColumn("error", spoil)).sink(t.memories)
+
+    for name, counts in (("b", (2, 1, 3)), ("none", (3, 0, 3))):  # the second run is the same job again
+        assert ledger.run("w", lambda name=name: partly(name), "job") == "job"
+        found = ledger.get("job")
+        assert (found["done"], found["failed"], found["total_files"]) == counts
+    assert ledger.events().count() == before + 5
+    nothing = ledger.run("w", lambda: Flow("f").source(TableSource(mixed.where("false"))).sink(t.memories))
+    assert ledger.get(nothing)["status"] == "done" and ledger.get(nothing)["total_files"] == 0
     assert ledger.get(broken)["status"] == "failed"
     assert "nothing to read" in ledger.get(broken)["error_msg"]
     with pytest.raises(ValueError):
