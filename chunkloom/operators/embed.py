@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 from chunkloom.functions.text import is_delete, let
 
+BATCH_CHARS = 1 << 20  # characters a model is given at once
+OUTAGE = 3  # failed connections in a row after which a task stops asking
+
 
 def needs_embedding() -> Column:
     return (
@@ -80,38 +83,67 @@ def _checked(vectors, count: int, dim: int) -> list[np.ndarray]:
     return vectors
 
 
+def _batches(texts: pd.Series, most: int, most_chars: int) -> Iterator[pd.Series]:
+    """Texts of like length together, at most so many and so many characters; a longer text comes alone.
+
+    Models pad the texts of a call to the longest, so that even lengths also save work.
+    """
+    lengths = texts.str.len().to_numpy()
+    start, held = 0, 0
+    order = np.argsort(lengths, kind="stable")
+    for i, at in enumerate(order):
+        if i > start and (i - start == most or held + lengths[at] > most_chars):
+            yield texts.iloc[order[start:i]]
+            start, held = i, 0
+        held += lengths[at]
+    if len(order):
+        yield texts.iloc[order[start:]]
+
+
 def embed_with_model(
-    rows: DataFrame, load: Callable[[], Callable], dim: int, batch_size: int = 64
+    rows: DataFrame, load: Callable[[], Callable], dim: int, batch_size: int = 64, batch_chars: int = BATCH_CHARS
 ) -> DataFrame:
     """Embed with ``load()``, a function from a list of texts to as many vectors, in order.
 
-    Adds ``error``: a batch that fails is repeated text by text, so that only the texts the
-    model rejects carry an error.  Rows that need no vector reach Python as NULL.
+    A call gets at most ``batch_size`` texts and ``batch_chars`` characters, or one text. Adds ``error``: a batch that
+    fails is halved until only the texts the model rejects carry an error.  An ``OSError``, as of a
+    connection or a timeout, is no fault of a text: the batch carries it as it is, and after
+    ``OUTAGE`` of them in a row a task asks no more. The next run takes these files up again.
+    Rows that need no vector reach Python as NULL; how many texts come over at once is up to
+    ``spark.sql.execution.arrow.maxRecordsPerBatch``.
     """
 
     @F.pandas_udf("vector array<float>, error string")
     def infer(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model = load()
+        model, outages = load(), []
+
+        def failed(texts, error):
+            return [(None, f"{type(error).__name__}: {error}")] * len(texts)
 
         def attempt(texts):
+            if len(outages) >= OUTAGE:
+                return failed(texts, outages[-1])
             try:
-                return [(v, None) for v in _checked(model(texts), len(texts), dim)]
+                vectors = _checked(model(texts), len(texts), dim)
+            except OSError as e:
+                outages.append(e)
+                return failed(texts, e)
             except Exception as e:
-                if len(texts) == 1:
-                    return [(None, f"{type(e).__name__}: {e}")]
-                return [pair for t in texts for pair in attempt([t])]
+                outages.clear()
+                half = len(texts) // 2
+                return attempt(texts[:half]) + attempt(texts[half:]) if half else failed(texts, e)
+            outages.clear()
+            return [(v, None) for v in vectors]
 
         for batch in batches:
-            todo = batch[batch.notna()]
-            out = pd.DataFrame({"vector": None, "error": None}, index=batch.index, dtype=object)
-            for i in range(0, len(todo), batch_size):
-                part = todo.iloc[i : i + batch_size]
-                for label, (vector, error) in zip(
-                    part.index, attempt(part.tolist()), strict=True
-                ):
-                    out.at[label, "vector"] = vector
-                    out.at[label, "error"] = error
-            yield out
+            texts = batch.reset_index(drop=True)
+            vectors, errors = [None] * len(texts), [None] * len(texts)
+            for part in _batches(texts[texts.notna()], batch_size, batch_chars):
+                for at, (vector, error) in zip(part.index, attempt(part.tolist()), strict=True):
+                    vectors[at], errors[at] = vector, error
+            yield pd.DataFrame(
+                {"vector": pd.Series(vectors, dtype=object), "error": pd.Series(errors, dtype=object)}
+            )
 
     result = rows.withColumn("_m", infer(F.when(needs_embedding(), F.col("content"))))
     earlier = F.col("error") if "error" in rows.columns else F.lit(None).cast("string")

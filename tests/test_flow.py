@@ -20,7 +20,7 @@ from chunkloom.functions.text import (
     relative_key,
     trim_space,
 )
-from chunkloom.operators.embed import embed_by_hashing, embed_with_model, embedder
+from chunkloom.operators.embed import OUTAGE, embed_by_hashing, embed_with_model, embedder
 from chunkloom.operators.fanout import fan_out
 from chunkloom.operators.snapshot import tombstones
 from chunkloom.schema import SNAPSHOT
@@ -441,6 +441,45 @@ def test_model_batches_keep_order_and_are_checked(spark):
     assert all("0 vectors for 1" in r.error for r in short if r.id != "0")
 
 
+def sizing_model():
+    return lambda texts: [[float(len(texts)), float(sum(map(len, texts)))] for _ in texts]
+
+
+def test_calls_of_a_model_are_bounded_by_size(spark):
+    lengths = [1_000_000, 3, 400, 50, 1_000_000, *range(1, 200), 999]
+    texts = [{"id": str(i), "content": "x" * n} for i, n in enumerate(lengths)]
+    found = embed_with_model(versions(spark, *texts).coalesce(1), sizing_model, 2, 50, 1000).collect()
+    assert len(found) == len(lengths) and all(r.error is None for r in found)
+    for r in found:
+        count, chars = r.embedding
+        assert count <= 50 and (count == 1 or chars <= 1000) and chars >= lengths[int(r.id)]
+    assert sum(1 / r.embedding[0] for r in found) < 40  # calls
+
+
+def outage_model():
+    asked = []
+
+    def embed(texts):
+        asked.append(len(texts))
+        raise ConnectionError(f"call {len(asked)}")
+
+    return embed
+
+
+def test_an_outage_is_not_retried_text_by_text(spark):
+    rows = versions(spark, *[{"id": str(i), "content": "x"} for i in range(100)]).coalesce(1)
+    errors = {r.error for r in embed_with_model(rows, outage_model, 2, 10).collect()}
+    assert errors == {f"ConnectionError: call {n}" for n in range(1, OUTAGE + 1)}
+    picky = embed_with_model(rows.withColumn("content", F.col("id")), lambda: picky_call, 1, 50).collect()
+    assert {r.id for r in picky if r.error} == {"7", "42"} and sum(r.embedding is not None for r in picky) == 98
+
+
+def picky_call(texts):
+    if {"7", "42"} & set(texts):
+        raise ValueError("no")
+    return [[1.0]] * len(texts)
+
+
 def test_job_ledger(spark, tmp_path):
     ledger = JobLedger(spark, str(tmp_path / "jobs"))
     job = ledger.create("w", 3)
