@@ -12,15 +12,19 @@ def _to_least(edges: DataFrame, large: bool) -> DataFrame:
     Large star: the larger neighbours of a node move to the least node around it. Small star: the smaller
     ones do, and the node itself.
     """
+
+    def turned(u: str, v: str):
+        return F.struct(F.col(u).alias("u"), F.col(v).alias("v"))
+
+    # Both directions come from one generator: no grouping here reads a union.
     if large:
-        both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = edges.select(F.inline(F.array(turned("u", "v"), turned("v", "u"))))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         moved = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     else:
         least = edges.groupBy("u").agg(F.min("v").alias("m"))
         placed = edges.join(least, "u")
-        moved = placed.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        moved = moved.unionByName(least.select("u", F.col("m").alias("v")))
+        moved = placed.select(F.inline(F.array(turned("v", "m"), turned("u", "m")))).where("u <> v")
     return moved.distinct()
 
 
