@@ -17,6 +17,9 @@ The second and third see only the neighbourhood of places where copies differ. B
 window covers is found, at all places; with ``keep_first`` the window's first place (by id, text hash and position) is
 left out. Null and short texts have no windows. Rows that repeat id and text are copies of each other. Equality of
 ranges and suffixes is equality of 128-bit hashes.
+
+Several units go through the same passes, each row with the number ``u`` of its unit. That number is part of the first
+digit, so rows of different units share no group; texts are brought to the ranges of all units at once.
 """
 
 from dataclasses import dataclass
@@ -41,7 +44,7 @@ from chunkloom.llm.numeric import (
     words,
 )
 from chunkloom.llm.spans import range_arrays, with_ranges
-from chunkloom.llm.stage import Stage, keyed, same_row
+from chunkloom.llm.stage import Stage, keyed
 
 
 @dataclass(frozen=True)
@@ -58,10 +61,13 @@ BYTES = Unit("bytes", 400, 160, 16)
 WORDS = Unit("words", 50, 13, 4)
 DIGITS = 3
 _SEGMENT = 4 << 20
-_RUN = "id {}, h long, a long, c1 long, c2 long, lo int, n int, g int"
-_PART = "id {}, h long, d1 long, d2 long, d3 long, w1 long, w2 long, lo int, n int"
-_SUFFIX = "id {}, h long, w1 long, w2 long, lo int"
-_RESULT = "id {}, n_bytes long, n_removed long, spans array<struct<start:int,end:int>>, kept binary"
+_PART_BYTES = BLOCK_BYTES // 4
+_RUN = "id {}, h long, u int, a long, c1 long, c2 long, lo int, n int, g int"
+_PART = "id {}, h long, u int, d1 long, d2 long, d3 long, w1 long, w2 long, lo int, n int"
+_SUFFIX = "id {}, h long, u int, w1 long, w2 long, lo int"
+_RESULT = (
+    "id {}, n_bytes long, n_removed long, spans array<struct<start:int,end:int>>, kept binary, n_repeated_words long"
+)
 
 
 @dataclass
@@ -98,60 +104,86 @@ def _pieces(column: pa.Array, unit: Unit, block: int = BLOCK_BYTES):
                 yield _Piece(first, marks, lo, _SEGMENT, lambda family, part=part: bytes_sequence(part, family))
 
 
-def _runs(unit: Unit):
-    length, gram = unit.length, unit.gram
+def _units(u: int, n: int) -> pa.Array:
+    return pa.array(np.full(n, u, np.int32))
 
+
+def _runs(units: tuple[Unit, ...]):
     def run(batches):
         for batch in batches:
-            for piece in _pieces(batch.column("text"), unit):
-                if piece.size < length:
-                    continue
-                offsets = piece.offsets
-                valid = np.zeros(piece.size - length + 1, bool)
-                for start, n in zip(offsets[:-1].tolist(), (np.diff(offsets) - length + 1).tolist(), strict=True):
-                    if n > 0:
-                        valid[start : start + n] = True
-                valid[piece.limit :] = False
-                one = piece.sequence(0)
-                grams = one.grams(gram)
-                lo, hi, p = minimizer_runs(grams, length - gram + 1, valid)
-                if not len(lo):
-                    continue
-                two = piece.sequence(1)
-                shape = mix(((p - lo) * 1_000_003 + (hi - lo)).astype(U))
-                row = np.searchsorted(offsets, lo, side="right") - 1
-                take = pa.array(piece.first + row)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("id").take(take),
-                        batch.column("h").take(take),
-                        signed(mix(grams[p])),
-                        signed(one.hashes(lo, hi + length) ^ shape),
-                        signed(two.hashes(lo, hi + length)),
-                        pa.array((lo - offsets[row] + piece.shift).astype(np.int32)),
-                        pa.array((hi - lo + 1).astype(np.int32)),
-                        pa.array((p - lo).astype(np.int32)),
-                    ],
-                    names=["id", "h", "a", "c1", "c2", "lo", "n", "g"],
-                )
+            for u, unit in enumerate(units):
+                for piece in _pieces(batch.column("text"), unit):
+                    if piece.size >= unit.length:
+                        yield from of(batch, u, unit, piece)
+
+    def of(batch, u, unit, piece):
+        length, gram, offsets = unit.length, unit.gram, piece.offsets
+        valid = np.zeros(piece.size - length + 1, bool)
+        for start, n in zip(offsets[:-1].tolist(), (np.diff(offsets) - length + 1).tolist(), strict=True):
+            if n > 0:
+                valid[start : start + n] = True
+        valid[piece.limit :] = False
+        one = piece.sequence(0)
+        grams = one.grams(gram)
+        lo, hi, p = minimizer_runs(grams, length - gram + 1, valid)
+        if not len(lo):
+            return
+        two = piece.sequence(1)
+        shape = mix(((p - lo) * 1_000_003 + (hi - lo)).astype(U))
+        row = np.searchsorted(offsets, lo, side="right") - 1
+        take = pa.array(piece.first + row)
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("id").take(take),
+                batch.column("h").take(take),
+                _units(u, len(lo)),
+                signed(mix(grams[p] + U(u))),
+                signed(one.hashes(lo, hi + length) ^ shape),
+                signed(two.hashes(lo, hi + length)),
+                pa.array((lo - offsets[row] + piece.shift).astype(np.int32)),
+                pa.array((hi - lo + 1).astype(np.int32)),
+                pa.array((p - lo).astype(np.int32)),
+            ],
+            names=["id", "h", "u", "a", "c1", "c2", "lo", "n", "g"],
+        )
 
     return run
 
 
-def _parts(unit: Unit):
+def _ranges_in_pieces(batch: pa.RecordBatch, units: tuple[Unit, ...], *fields: str):
+    """``(u, piece, rows, values)``: where the texts of a piece have ranges of its unit, and their fields.
+
+    ``rows`` has the row in the batch of every text of the piece. ``lo``, the first field, is counted from the start of
+    the piece. A segment of a huge text gets all ranges of the text, also those that begin elsewhere.
+    """
+    column = batch.column("ranges")
+    owner = np.repeat(np.arange(len(column)), column.value_lengths().to_numpy(zero_copy_only=False))
+    flat = column.flatten()
+    of = flat.field("u").to_numpy(zero_copy_only=False)
+    values = [flat.field(f).to_numpy(zero_copy_only=False).astype(np.int64) for f in fields]
+    for u, unit in enumerate(units):
+        here = of == u
+        rows, text = np.unique(owner[here], return_inverse=True)
+        if not len(rows):
+            continue
+        lo, *more = [v[here] for v in values]
+        for piece in _pieces(batch.column("text").take(pa.array(rows)), unit, _PART_BYTES):
+            a, b = np.searchsorted(text, (piece.first, piece.first + len(piece.offsets) - 1))
+            at = lo[a:b] - piece.shift + piece.offsets[text[a:b] - piece.first]
+            yield u, piece, rows[piece.first :], [at, *[m[a:b] for m in more]]
+
+
+def _parts(units: tuple[Unit, ...]):
     """Digits of the prefix and the whole of every part of the given runs; a run's gram is ``g`` after its first suffix."""
-    length, radix = unit.length, unit.radix
-    core = length - radix + 1  # what the suffixes of a part share, from the last one on
-    cuts = [core * k // DIGITS for k in range(DIGITS + 1)]
 
     def run(batches):
         for batch in batches:
-            runs = list(range_arrays(batch.column("ranges"), "lo", "n", "g"))
-            for piece in _pieces(batch.column("text"), unit, 1):
-                row, shift = piece.first, piece.shift
-                lo, n, g = runs[row]
-                here = (lo >= shift) & (lo < shift + piece.limit) & (lo + n + length - 1 <= shift + piece.size)
-                lo, n, g = lo[here] - shift, n[here], g[here]
+            for u, piece, rows, (lo, n, g) in _ranges_in_pieces(batch, units, "lo", "n", "g"):
+                length, radix = units[u].length, units[u].radix
+                core = length - radix + 1  # what the suffixes of a part share, from the last one on
+                cuts = [core * k // DIGITS for k in range(DIGITS + 1)]
+                here = (lo >= 0) & (lo < piece.limit) & (lo + n + length - 1 <= piece.size)
+                lo, n, g = lo[here], n[here], g[here]
                 if not len(lo):
                     continue
                 # distances d from a suffix to the gram: g - n + 1 .. g, cut at multiples of the radix
@@ -165,46 +197,50 @@ def _parts(unit: Unit):
                 place = mix((j * 1_000_003 + far - near).astype(U))
                 at = p - j * radix
                 digits = [one.hashes(at + a, at + b) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-                digits[0] = digits[0] ^ mix(j.astype(U))
-                take = pa.array(np.full(len(first), row))
+                digits[0] = mix((digits[0] ^ mix(j.astype(U))) + U(u))
+                text = np.searchsorted(piece.offsets, first, side="right") - 1
+                take = pa.array(rows[text])
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("id").take(take),
                         batch.column("h").take(take),
+                        _units(u, len(first)),
                         *[signed(d) for d in digits],
                         signed(one.hashes(first, last + length) ^ place),
                         signed(two.hashes(first, last + length)),
-                        pa.array((first + shift).astype(np.int32)),
+                        pa.array((first - piece.offsets[text] + piece.shift).astype(np.int32)),
                         pa.array((far - near + 1).astype(np.int32)),
                     ],
-                    names=["id", "h", "d1", "d2", "d3", "w1", "w2", "lo", "n"],
+                    names=["id", "h", "u", "d1", "d2", "d3", "w1", "w2", "lo", "n"],
                 )
 
     return run
 
 
-def _suffixes(unit: Unit):
+def _suffixes(units: tuple[Unit, ...]):
     """Hash through the full length of every suffix in the given ranges of a text."""
 
     def run(batches):
         for batch in batches:
-            ranges = list(range_arrays(batch.column("ranges")))
-            for piece in _pieces(batch.column("text"), unit, 1):
-                at, _ = spread_ranges(*ranges[piece.first])
-                at = np.unique(at) - piece.shift
-                at = at[(at >= 0) & (at < min(piece.limit, piece.size - unit.length + 1))]
+            for u, piece, rows, (lo, n) in _ranges_in_pieces(batch, units, "lo", "n"):
+                length = units[u].length
+                at, _ = spread_ranges(lo, n)
+                at = np.unique(at)
+                at = at[(at >= 0) & (at < min(piece.limit, piece.size - length + 1))]
                 if not len(at):
                     continue
-                take = pa.array(np.full(len(at), piece.first))
+                text = np.searchsorted(piece.offsets, at, side="right") - 1
+                take = pa.array(rows[text])
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("id").take(take),
                         batch.column("h").take(take),
-                        signed(piece.sequence(0).hashes(at, at + unit.length)),
-                        signed(piece.sequence(1).hashes(at, at + unit.length)),
-                        pa.array((at + piece.shift).astype(np.int32)),
+                        _units(u, len(at)),
+                        signed(piece.sequence(0).hashes(at, at + length)),
+                        signed(piece.sequence(1).hashes(at, at + length)),
+                        pa.array((at - piece.offsets[text] + piece.shift).astype(np.int32)),
                     ],
-                    names=["id", "h", "w1", "w2", "lo"],
+                    names=["id", "h", "u", "w1", "w2", "lo"],
                 )
 
     return run
@@ -246,70 +282,64 @@ def _settled(
     else:
         copied = judged.join(copied.select(*key), key, "left_semi")
         repeated = rows.where("alike").unionByName(copied)
-    return repeated.select("id", "h", "lo", "n"), open_
+    return repeated.select("id", "h", "u", "lo", "n"), open_
 
 
 def repeated_ranges(
-    stage: Stage, rows: DataFrame, unit: Unit = BYTES, keep_first: bool = False
+    stage: Stage, rows: DataFrame, units: tuple[Unit, ...] = (BYTES,), keep_first: bool = False
 ) -> DataFrame:
-    """Ranges of elements (``id``, ``h``, ``lo``, ``n``) covered by repeated windows; they may overlap."""
+    """Ranges of elements (``id``, ``h``, ``u``, ``lo``, ``n``) covered by repeated windows; they may overlap.
+
+    ``u`` is the number of the range's unit in ``units``.
+    """
     kind = dict(rows.dtypes)["id"]
     narrow = rows.select("id", "h", "text")
-    covered = (F.col("n") + (unit.length - 1)).alias("n")
+    length = F.get(F.array(*[F.lit(unit.length) for unit in units]), F.col("u"))
+    covered = (F.col("n") + length - 1).alias("n")
 
-    runs = stage.table(narrow.mapInArrow(_runs(unit), _RUN.format(kind)), "runs")
+    runs = stage.table(narrow.mapInArrow(_runs(units), _RUN.format(kind)), "runs")
     met = _not_alone(stage, runs, ["a"], ["c1", "c2"])
     stage.drop(runs)
-    whole_runs, open_runs = _settled(stage, met, ["a"], ["c1", "c2"], ["id", "h", "lo", "n", "g"], keep_first)
+    whole_runs, open_runs = _settled(stage, met, ["a"], ["c1", "c2"], ["id", "h", "u", "lo", "n", "g"], keep_first)
 
-    parts = with_ranges(narrow, open_runs, "inner").mapInArrow(_parts(unit), _PART.format(kind))
+    parts = with_ranges(narrow, open_runs, "inner").mapInArrow(_parts(units), _PART.format(kind))
     parts = stage.table(parts, "parts")
     digits = [f"d{k + 1}" for k in range(DIGITS)]
     for k in range(DIGITS):
         before, parts = parts, _not_alone(stage, parts, digits[: k + 1], ["w1", "w2"])
         stage.drop(before)
-    whole_parts, open_parts = _settled(stage, parts, digits, ["w1", "w2"], ["id", "h", "lo", "n"], keep_first)
+    whole_parts, open_parts = _settled(stage, parts, digits, ["w1", "w2"], ["id", "h", "u", "lo", "n"], keep_first)
 
-    suffixes = with_ranges(narrow, open_parts, "inner").mapInArrow(_suffixes(unit), _SUFFIX.format(kind))
+    suffixes = with_ranges(narrow, open_parts, "inner").mapInArrow(_suffixes(units), _SUFFIX.format(kind))
     suffixes = stage.table(suffixes, "suffixes")
-    key, place = ["w1", "w2"], F.struct("id", "h", "lo")
+    key, place = ["u", "w1", "w2"], F.struct("id", "h", "lo")
     equal = suffixes.groupBy(*key).agg(F.count("*").alias("k"), F.min(place).alias("first"))
     equal = stage.table(equal.where("k > 1").select(*key, "first"), "equal")
     single = suffixes.join(equal, key)
     if keep_first:
         single = single.where(~place.eqNullSafe(F.col("first")))
     out = stage.table(
-        whole_runs.select("id", "h", "lo", covered)
-        .unionByName(whole_parts.select("id", "h", "lo", covered))
-        .unionByName(single.select("id", "h", "lo", F.lit(unit.length).alias("n"))),
+        whole_runs.select("id", "h", "u", "lo", covered)
+        .unionByName(whole_parts.select("id", "h", "u", "lo", covered))
+        .unionByName(single.select("id", "h", "u", "lo", length.alias("n"))),
         "ranges",
     )
     stage.drop(met, open_runs, parts, open_parts, suffixes, equal)
     return out
 
 
-def repeated_words(stage: Stage, rows: DataFrame, unit: Unit = WORDS) -> DataFrame:
-    """Per row with repeated words: ``id``, ``h``, ``n`` (words in windows that also start elsewhere)."""
-
-    def count(column: pa.Array) -> pa.Array:
-        spans = (merge_spans(lo, lo + n) for lo, n in range_arrays(column))
-        return pa.array([int((end - start).sum()) for start, end in spans], pa.int64())
-
-    found = repeated_ranges(stage, rows, unit)
-    listed = found.groupBy("id", "h").agg(F.collect_list(F.struct("lo", "n")).alias("ranges"))
-    return listed.select("id", "h", F.arrow_udf(count, "long")(F.col("ranges")).alias("n"))
-
-
 def _cut(batches):
-    """Ranges are [lo, lo + n) in bytes."""
+    """Ranges are [lo, lo + n) in bytes, or in words where ``u`` is 1; those words are counted only."""
     kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
     for batch in batches:
-        total, removed, spans, kept = [], [], [], []
-        for text, (lo, n) in zip(
-            batch.column("text"), range_arrays(batch.column("ranges")), strict=True
+        total, removed, spans, kept, said = [], [], [], [], []
+        for text, (u, lo, n) in zip(
+            batch.column("text"), range_arrays(batch.column("ranges"), "u", "lo", "n"), strict=True
         ):
             data = text.as_py().encode()
-            start, end = merge_spans(lo, lo + n)
+            start, end = merge_spans(lo[u == 1], (lo + n)[u == 1])
+            said.append(int((end - start).sum()))
+            start, end = merge_spans(lo[u == 0], (lo + n)[u == 0])
             spans.append([{"start": a, "end": b} for a, b in zip(start.tolist(), end.tolist())])
             total.append(len(data))
             removed.append(int((end - start).sum()))
@@ -317,7 +347,6 @@ def _cut(batches):
                 edges = [0, *np.column_stack((start, end)).ravel().tolist(), len(data)]
                 data = b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2]))
             kept.append(data)
-        more = [c for c in batch.schema.names if c == "n_repeated_words"]
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("id"),
@@ -325,9 +354,9 @@ def _cut(batches):
                 pa.array(removed, pa.int64()),
                 pa.array(spans, kind),
                 pa.array(kept, pa.binary()),
-                *[batch.column(c) for c in more],
+                pa.array(said, pa.int64()),
             ],
-            names=["id", "n_bytes", "n_removed", "spans", "kept", *more],
+            names=["id", "n_bytes", "n_removed", "spans", "kept", "n_repeated_words"],
         )
 
 
@@ -347,16 +376,9 @@ def suffix_dedup(
         raise ValueError("texts are cut by bytes, and passages are of words")
     stage = Stage(docs.sparkSession)
     rows = keyed(docs, id_col, text_col)
-    found = repeated_ranges(stage, rows, unit)
-    listed = with_ranges(rows, found, "left")
-    result = _RESULT.format(dict(rows.dtypes)["id"])
-    if not passages:
-        return listed.mapInArrow(_cut, result)
-    counts = stage.table(repeated_words(stage, rows, passages), "passages")
-    listed = listed.join(counts, same_row(listed, counts), "left").select(
-        listed["id"], listed["text"], listed["ranges"], F.coalesce("n", F.lit(0)).alias("n_repeated_words")
-    )
-    return listed.mapInArrow(_cut, result + ", n_repeated_words long")
+    found = repeated_ranges(stage, rows, (unit, passages) if passages else (unit,))
+    cut = with_ranges(rows, found, "left").mapInArrow(_cut, _RESULT.format(dict(rows.dtypes)["id"]))
+    return cut if passages else cut.drop("n_repeated_words")
 
 
 def _trimmed(text: pa.Array, ranges: pa.Array) -> pa.Array:
@@ -389,8 +411,8 @@ def trim_repeats(
         raise ValueError("texts are trimmed by words")
     stage = Stage(docs.sparkSession)
     rows = keyed(docs, id_col, text_col, keep_row=True)
-    found = repeated_ranges(stage, rows.select("id", "h", "text"), unit, keep_first=True)
-    listed = with_ranges(rows, found, "left")
+    found = repeated_ranges(stage, rows.select("id", "h", "text"), (unit,), keep_first=True)
+    listed = with_ranges(rows, found.drop("u"), "left")
     new = F.when(F.col("ranges").isNull(), F.col(f"row.`{text_col}`").cast("string")).otherwise(
         F.arrow_udf(_trimmed, "string")(F.col("text"), F.coalesce("ranges", F.array().cast("array<struct<lo:int,n:int>>")))
     )

@@ -11,7 +11,7 @@ from chunkloom.llm.minhash import drop_near_duplicates, near_duplicates
 from chunkloom.llm.mixing import mix, mixed
 from chunkloom.llm.stage import Stage
 from chunkloom.llm.substring_dedup import substring_dedup
-from chunkloom.llm.suffix_array import suffix_dedup, trim_repeats
+from chunkloom.llm.suffix_array import WORDS, suffix_dedup, trim_repeats
 from chunkloom.llm.toxicity import drop_toxic, fit, score_of
 from chunkloom.llm.url_filter import url_filter
 from chunkloom.llm.warc import deduplicated, register
@@ -96,6 +96,24 @@ def test_suffix_array(docs, rows):
             assert (r.text is None) == (texts()[r.doc_id] is None)
 
 
+def test_bytes_and_words_in_the_same_passes(docs, rows, monkeypatch):
+    """Passages of words add no steps of their own, and change nothing about the bytes."""
+    steps, table = [], Stage.table
+    monkeypatch.setattr(Stage, "table", lambda self, df, name: steps.append(name) or table(self, df, name))
+    columns = ["id", "n_bytes", "n_removed", "spans", "kept"]
+    alone = suffix_dedup(docs).select(columns).collect()
+    once, steps[:] = list(steps), []
+    both = suffix_dedup(docs, passages=WORDS)
+    assert steps == once
+    assert both.columns == [*columns, "n_repeated_words"]
+    both = both.collect()
+    key = str
+    assert sorted((r[:5] for r in both), key=key) == sorted(map(tuple, alone), key=key)
+    wanted = brute.words_elsewhere(plain(rows) + [(-1, texts()[6])], 50)
+    wanted.pop(-1)
+    assert {r.id: r.n_repeated_words for r in both if r.id is not None} == wanted
+
+
 def test_suffixes_of_a_text_in_segments(spark):
     """A passage across the cut of a text of several segments, once more in it, and in another text."""
     rng = random.Random(8)
